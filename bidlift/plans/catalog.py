@@ -13,12 +13,26 @@ from pyspark.sql import functions as F
 
 from ..functions import date_band, token_text
 from ..functions.derive import add_click_active, derive_fields, flatten_log
-from ..operators import calibrate, counts, gates, leaf, metrics, report, routing, rows, sampling, smoothing, vocab
+from ..operators import (
+    calibrate,
+    counts,
+    gates,
+    leaf,
+    metrics,
+    models,
+    report,
+    routing,
+    rows,
+    sampling,
+    smoothing,
+    vocab,
+)
+from ..operators.boosting import BoostParams
 from ..schemas import BID_PATHS, FEATURE_FIELDS, MULTI_FIELDS
 from ..session import fresh_path, materialize
 from ..sources import logs, tables, text
 from ..streaming import jobs
-from . import scoring
+from . import scoring, training
 from . import testbed as B
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -414,8 +428,6 @@ def decode_features(spark, sf):
 
 
 def to_vector(spark, sf):
-    from ..operators import models
-
     encoded, dictionary = _encoded(spark, sf, "axid")
     width = dictionary.agg(F.max("global_idx") + 1).first()[0]
     return models.to_vector(encoded, width).select("row_key", "ad_id", F.col("features").cast("string").alias("features"))
@@ -592,6 +604,66 @@ def score_requests(spark, sf):
     return _priced(scored)
 
 
+# -- learned models -----------------------------------------------------------
+
+# The price query grows fewer trees than the operator's 100: its loop is one job per tree level.
+PRICE_TREES = 10
+
+
+def _model_widths(dictionary: DataFrame) -> DataFrame:
+    return materialize(dictionary.groupBy("ad_id").agg(F.count(F.lit(1)).alias("width")), "widths")
+
+
+def cross_auc(spark, sf):
+    """Two-fold AUC of every eligible creative."""
+    encoded, dictionary = _encoded(spark, sf, "axid")
+    folded = training.prepare(encoded, ["row_key"])
+    return training.cross_auc(folded, _model_widths(dictionary)).withColumn("test_auc", F.round("test_auc", 6))
+
+
+def cvr_model(spark, sf):
+    """Train every eligible campaign and give its record."""
+    encoded, dictionary = _encoded(spark, sf, "adid")
+    trained = training.train(
+        training.prepare(encoded, ["row_key"]),
+        _model_widths(dictionary),
+        _click_actives(spark, sf, "adid"),
+        materialize(sampling.sample_fractions(encoded), "fractions"),
+    )
+    constants = calibrate.bid_constant(
+        calibrate.bid_average(encoded, "bidprice"), _click_actives(spark, sf, "adid")
+    )
+    return trained.meta.join(constants, "ad_id", "left")
+
+
+def bid_model(spark, sf):
+    """Train the global price model and give the mean predicted bid of every eligible creative."""
+    bids = materialize(_bid_rows(spark, sf), "bids")
+    dictionary = materialize(vocab.global_dict(vocab.token_distinct(bids)), "dict")
+    params = BoostParams(trees=PRICE_TREES, base=0.5, loss="squared")
+    encoded = materialize(vocab.encode_rows(bids, dictionary, ["row_key", "bidprice"], model=None), "encoded")
+    trees = models.fit_price(encoded, params)
+    ads = vocab.encode_rows(_training(spark, sf, "axid"), dictionary, ["row_key", "ad_id"], model=None)
+    return calibrate.bid_average(models.predict_price(trees, ads, params))
+
+
+def score_requests_learned(spark, sf):
+    """Train every model of the registry and price all bid requests with the routed one."""
+    meta, routes, default = _routing(spark, sf)
+    flat = rows.training_rows(B.new_sessions(spark, sf), B.old_sessions(spark, sf), None, keep=KEEP)
+    training_rows = materialize(rows.model_rows(derive_fields(flat), meta), "rows")
+    dictionary = _dict(training_rows)
+    encoded = materialize(vocab.encode_rows(training_rows, dictionary, ROW_COLUMNS), "encoded")
+    folded = training.prepare(encoded, ["row_key"])
+    full = materialize(models.variant_rows(folded, (models.FULL,)), "train")
+    model = models.fit_tree_linear(full, _model_widths(dictionary))
+    return _priced(
+        scoring.score_requests_learned(
+            B.bid_log(spark, sf), model, dictionary, routes, default, meta, B.bid_correction(spark, sf)
+        )
+    )
+
+
 # -- models and reports -------------------------------------------------------
 
 
@@ -782,6 +854,10 @@ QUERIES: dict[str, Query] = {
     "route_model_by_auc": route_model_by_auc,
     "bid_price": bid_price,
     "score_requests": score_requests,
+    "cross_auc": cross_auc,
+    "cvr_model": cvr_model,
+    "bid_model": bid_model,
+    "score_requests_learned": score_requests_learned,
     "model_meta": model_meta,
     "model_registry": model_registry,
     "trained_ids": trained_ids,

@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table of fewer files than cores is read by few tasks; spread its rows. Larger ones stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _struct(**fields: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in fields.items()])
 
@@ -85,7 +91,7 @@ def _range(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
 
 def session_core(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Sessions with ids, flags, date and prices only: enough for counting, with one small join."""
-    lineitem = _range(table(spark, sf_dir, "lineitem"), start, end)
+    lineitem = _spread(_range(table(spark, sf_dir, "lineitem"), start, end))
     return _flags(lineitem, table(spark, sf_dir, "supplier")).select(
         "row_key", "row_seq", "date", "has_click", "has_active",
         _struct(adid=F.col("adid"), axid=F.col("axid")).alias("ad"),
@@ -100,12 +106,12 @@ def session_log(
     end: str | None = None,
     lineitem: DataFrame | None = None,
 ) -> DataFrame:
-    """Sessions with the full nested log schema. ``lineitem`` may be a part of that table."""
+    """Sessions with the full nested log schema. ``lineitem``: a part of that table to use instead of the range."""
     if lineitem is None:
-        lineitem = table(spark, sf_dir, "lineitem")
+        lineitem = _spread(_range(table(spark, sf_dir, "lineitem"), start, end))
     t = {n: table(spark, sf_dir, n) for n in ("supplier", "nation", "region", "part", "orders", "customer")}
     j = (
-        _flags(_range(lineitem, start, end), t["supplier"])
+        _flags(lineitem, t["supplier"])
         .join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
         .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
