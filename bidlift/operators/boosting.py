@@ -86,22 +86,40 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _grow(rows: DataFrame, keys: list[str], tree: int, p: BoostParams) -> DataFrame:
-    """One tree per model: (keys, node, split, value). ``rows`` is a written table with g and h."""
-    sampled = rows.where(_kept(p.row_share, F.col("row_key"), F.lit(p.seed), F.lit(tree)))
+def _children(nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """Gradient sums of the two children of every split node."""
+    left = F.struct(
+        (F.col("node") * 2).alias("node"),
+        (F.col("gs") - F.col("gr")).alias("gs"),
+        (F.col("hs") - F.col("hr")).alias("hs"),
+    )
+    right = F.struct((F.col("node") * 2 + 1).alias("node"), F.col("gr").alias("gs"), F.col("hr").alias("hs"))
+    return (
+        nodes.where("split >= 0")
+        .select(*keys, F.explode(F.array(left, right)).alias("c"))
+        .select(*keys, "c.node", "c.gs", "c.hs")
+    )
+
+
+def _grow(rows: DataFrame, keys: list[str], p: BoostParams) -> DataFrame:
+    """One tree per model: (keys, node, split, value). ``rows`` is a written table with g and h.
+
+    The nodes found so far are a written table of at most 2^(depth + 1) rows
+    per model, so the planner knows its size when it joins it to the rows.
+    """
+    sampled = rows.where(_kept(p.row_share, F.col("row_key"), F.lit(p.seed), F.col("tree")))
     roots = sampled.groupBy(*keys).agg(F.sum("g").alias("gs"), F.sum("h").alias("hs"))
-    # Written, so that the planner knows the node tables are small and broadcasts them.
     nodes = materialize(roots.withColumn("node", F.lit(1)), "nodes")
-    done: list[DataFrame] = []
+    known: DataFrame | None = None
     for level in range(p.depth):
         at = sampled.withColumn("node", F.lit(1))
-        if done:
-            at = sampled.join(_splits(_union(done), keys, 2**level), keys, "left")
+        if known is not None:
+            at = sampled.join(_splits(known, keys, 2**level), keys, "left")
             at = at.withColumn("node", _walk(F.coalesce("splits", F.array(F.lit(-1), F.lit(-1))), level))
         hist = (
             at.where(F.col("node") >= 2**level)
-            .select(*keys, "node", "g", "h", F.explode("idx").alias("i"))
-            .where(_kept(p.column_share, F.col("i"), F.lit(p.seed), F.lit(tree)))
+            .select(*keys, "node", "g", "h", "tree", F.explode("idx").alias("i"))
+            .where(_kept(p.column_share, F.col("i"), F.lit(p.seed), F.col("tree")))
             .groupBy(*keys, "node", "i")
             .agg(F.sum("g").alias("gr"), F.sum("h").alias("hr"))
         )
@@ -119,26 +137,16 @@ def _grow(rows: DataFrame, keys: list[str], tree: int, p: BoostParams) -> DataFr
             .groupBy(*keys, "node")
             .agg(F.max_by(F.struct("i", "gr", "hr"), F.struct("gain", -F.col("i"))).alias("b"))
         )
-        level_nodes = nodes.join(best, [*keys, "node"], "left").select(
+        found = nodes.join(best, [*keys, "node"], "left").select(
             *keys, "node", F.coalesce("b.i", F.lit(-1)).alias("split"), "gs", "hs",
             F.col("b.gr").alias("gr"), F.col("b.hr").alias("hr"),
         )
-        level_nodes = materialize(level_nodes, "nodes")
-        done.append(level_nodes)
-        parents = level_nodes.where("split >= 0")
-        nodes = parents.select(
-            *keys,
-            F.explode(
-                F.array(
-                    F.struct((F.col("node") * 2).alias("node"), (F.col("gs") - F.col("gr")).alias("gs"), (F.col("hs") - F.col("hr")).alias("hs")),
-                    F.struct((F.col("node") * 2 + 1).alias("node"), F.col("gr").alias("gs"), F.col("hr").alias("hs")),
-                )
-            ).alias("c"),
-        ).select(*keys, "c.node", "c.gs", "c.hs")
+        known = materialize(found if known is None else known.unionByName(found), "nodes")
+        nodes = _children(known.where(F.col("node") >= 2**level), keys)
     last = nodes.withColumn("split", F.lit(-1))
-    every = _union([n.select(*keys, "node", "split", "gs", "hs") for n in [*done, last]])
     value = F.lit(-p.rate) * F.col("gs") / (F.col("hs") + p.l2)
-    return materialize(every.select(*keys, "node", "split", value.alias("value")), "tree")
+    every = known.select(*keys, "node", "split", "gs", "hs").unionByName(last.select(*keys, "node", "split", "gs", "hs"))
+    return every.select(*keys, "node", "split", value.alias("value"))
 
 
 def nested(trees: DataFrame, keys: list[str], depth: int) -> DataFrame:
@@ -167,15 +175,19 @@ def fit(rows: DataFrame, keys: list[str], p: BoostParams = BoostParams()) -> Dat
 
     ``rows`` is a written table of (keys, row_key, idx, y, weight).
     """
-    current = materialize(_gradients(rows.withColumn("margin", F.lit(float(p.base))), p), "boost")
+    start = rows.withColumns({"margin": F.lit(float(p.base)), "tree": F.lit(0)})
+    current = materialize(_gradients(start, p), "boost")
     grown: list[DataFrame] = []
     for tree in range(p.trees):
-        nodes = _grow(current, keys, tree, p).withColumn("tree", F.lit(tree))
+        nodes = _grow(current, keys, p).withColumn("tree", F.lit(tree))
         grown.append(nodes)
         if tree + 1 < p.trees:
             one = nested(nodes, keys, p.depth)
-            step = current.join(one, keys, "left").withColumn(
-                "margin", F.col("margin") + F.coalesce(margin("trees", p.depth), F.lit(0.0))
+            step = current.join(one, keys, "left").withColumns(
+                {
+                    "margin": F.col("margin") + F.coalesce(margin("trees", p.depth), F.lit(0.0)),
+                    "tree": F.col("tree") + 1,
+                }
             )
             current = materialize(_gradients(step.drop("trees", "g", "h"), p), "boost")
     return materialize(_union(grown), "trees")
