@@ -20,8 +20,6 @@ AXID_MORE_THAN = 50
 ADID_MORE_THAN = 20
 WINDOW_MORE_THAN = 2
 
-_NULL = F.lit(None).cast("string")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,7 +36,7 @@ def _struct(**fields: Column) -> Column:
 
 
 def _nulls(*names: str) -> dict[str, Column]:
-    return {n: _NULL for n in names}
+    return {n: F.lit(None).cast("string") for n in names}
 
 
 def _row_key() -> Column:
@@ -74,10 +72,9 @@ def _flags(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
-_BID = {
-    "bidprice": F.col("l_extendedprice"),
-    "winprice": F.col("l_extendedprice") * (1 - F.col("l_discount")),
-}
+def _bid() -> Column:
+    price = F.col("l_extendedprice")
+    return _struct(bidprice=price, winprice=price * (1 - F.col("l_discount"))).alias("bid")
 
 
 def _range(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
@@ -95,7 +92,7 @@ def session_core(spark: SparkSession, sf_dir: str, start: str | None = None, end
     return _flags(lineitem, table(spark, sf_dir, "supplier")).select(
         "row_key", "row_seq", "date", "has_click", "has_active",
         _struct(adid=F.col("adid"), axid=F.col("axid")).alias("ad"),
-        _struct(**_BID).alias("bid"),
+        _bid(),
     )
 
 
@@ -168,7 +165,7 @@ def session_log(
             keyword=F.split("p_name", " "), cclabel=cclabel,
             **_nulls("cat1", "cat2", "author", "cont_id", "program"),
         ).alias("content"),
-        _struct(**_BID).alias("bid"),
+        _bid(),
         F.element_at(F.array(*[F.lit(p) for p in PRODUCT_TYPES]), F.col("p_size") % 5 + 1).alias("producttype"),
         F.col("l_linestatus").alias("_status"),
     )
