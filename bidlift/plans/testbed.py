@@ -26,9 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """A table of fewer files than cores is read by few tasks; spread its rows. Larger ones stay as they are."""
+    """Lineitem of fewer files than cores is read by few tasks; spread its orders. Larger ones stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, "l_orderkey") if len(df.inputFiles()) < cores else df
 
 
 def _struct(**fields: Column) -> Column:
