@@ -152,7 +152,8 @@ def search(docs: DataFrame, benchmark: DataFrame, n: int, keep: list[str], text:
     looked = materialize(seeded(docs, grams, seeds, keep, text), "seeded")
     hit = materialize(looked.where("hit").select("text_key").distinct(), "candidates")
     texts = docs.select(text_key(whole_text(text)).alias("text_key"), whole_text(text).alias("text"))
-    texts = texts.join(hit, "text_key", "left_semi").dropDuplicates(["text_key"])
+    # Always by a shuffle: the number of candidates grows with the documents.
+    texts = texts.join(hit.hint("merge"), "text_key", "left_semi").dropDuplicates(["text_key"])
     found = materialize(scan(texts, grams), "found")
     return looked.where("first").drop("first", "hit"), found, pairs
 
