@@ -72,4 +72,51 @@ FROM d LEFT JOIN s USING (r)
 """
 
 
-ORACLE = {"op1_secret_scan": _secrets_sql(), "op5_benchmark_decontamination": OP5}
+OP8 = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (
+  SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d
+), win AS (
+  SELECT r, i, list_value(w[i], w[i + 1], w[i + 2]) AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)
+), twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM win) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS k FROM twice) GROUP BY r),
+c AS (
+  SELECT d.r, doc_id, lang, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+         len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
+  FROM d JOIN w USING (r) LEFT JOIN rep USING (r)
+), m AS (
+  SELECT *, 1000 * n_symbols // greatest(word_chars, 1) AS v1, 1000 * n_dup_lines // greatest(n_lines, 1) AS v2,
+         1000 * n_repeat_words // greatest(n_words, 1) AS v3, 10 * word_chars // greatest(n_words, 1) AS v4
+  FROM c
+), u AS (
+  SELECT lang, source, unnest([1, 2, 3, 4]) AS m, unnest([v1, v2, v3, v4]) AS v FROM m
+), sk AS (
+  SELECT lang, source, m, CAST(((v >> greatest(length(bin(CAST(v AS BIGINT))) - 5, 0)) << greatest(length(bin(CAST(v AS BIGINT))) - 5, 0)) AS BIGINT) AS v, count(*) AS n
+  FROM (SELECT lang, source, m, CAST(v AS BIGINT) AS v FROM u) GROUP BY ALL
+), lv AS (SELECT lang, m, v, sum(n) AS ln FROM sk GROUP BY ALL),
+lt AS (SELECT lang, m, sum(n) AS lt FROM sk GROUP BY ALL),
+g AS (SELECT lang, source, m, sum(n) AS gt FROM sk GROUP BY ALL),
+mix AS (
+  SELECT lang, source, m, v, coalesce(n, 0) * lt + 20 * ln AS w, (gt + 20) * lt AS total
+  FROM g JOIN lv USING (lang, m) JOIN lt USING (lang, m) LEFT JOIN sk USING (lang, source, m, v)
+), q AS (
+  SELECT lang, source, m, min(v) FILTER (WHERE 4 * cum >= total) AS q1, min(v) FILTER (WHERE 4 * cum >= 3 * total) AS q3
+  FROM (SELECT *, sum(w) OVER (PARTITION BY lang, source, m ORDER BY v) AS cum FROM mix) GROUP BY ALL
+), t AS (
+  SELECT lang, source,
+         max(q3 + greatest(3 * (q3 - q1), 50)) FILTER (WHERE m = 1) AS h1, max(q3 + greatest(3 * (q3 - q1), 400)) FILTER (WHERE m = 2) AS h2,
+         max(q3 + greatest(3 * (q3 - q1), 300)) FILTER (WHERE m = 3) AS h3, max(q3 + greatest(3 * (q3 - q1), 15)) FILTER (WHERE m = 4) AS h4,
+         max(q1 - greatest(3 * (q3 - q1), 15)) FILTER (WHERE m = 4) AS l4
+  FROM q GROUP BY ALL
+), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND v1 <= h1 AND v2 <= h2 AND v3 <= h3 AND v4 <= h4 AND v4 >= l4 AS kept
+FROM b JOIN t USING (lang, source)
+"""
+
+ORACLE = {"op1_secret_scan": _secrets_sql(), "op5_benchmark_decontamination": OP5, "op8_adaptive_quality": OP8}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, secrets
+from . import decontaminate, packing, quality, secrets, tokenfile, urls
 from .common import table
 
 
@@ -13,6 +13,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -21,4 +25,19 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op5_benchmark_decontamination)}
+def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op8_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+_ALL = (
+    op1_secret_scan, op2_pattern_packing, op5_benchmark_decontamination, op6_token_file, op8_adaptive_quality, op9_url_rules,
+)
+QUERIES = {f.__name__: f for f in _ALL}
