@@ -76,7 +76,7 @@ OP8 = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
 w AS (
   SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
   FROM d
 ), win AS (
   SELECT r, i, list_value(w[i], w[i + 1], w[i + 2]) AS g
@@ -84,7 +84,7 @@ w AS (
 ), twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM win) WHERE n > 1),
 rep AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS k FROM twice) GROUP BY r),
 c AS (
-  SELECT d.r, doc_id, lang, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS word_chars,
+  SELECT d.r, doc_id, lang, source, len(w) AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0) AS word_chars,
          len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
          len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
   FROM d JOIN w USING (r) LEFT JOIN rep USING (r)

@@ -29,7 +29,7 @@ BASE_RULES = (
     ("block", "com", "/de/"),
 )
 BAD = "label=bad"
-SUPPORT, CONFIDENCE = 0.001, 0.8
+SUPPORT, LEAST_PAGES, CONFIDENCE = 0.001, 20, 0.8
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -78,7 +78,8 @@ def mine_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, co
     """(rule_id, tokens, confidence, support) of the rules that say bad.
 
     ``pages`` (page_id, url); ``labels`` (doc_id, quality, toxic) are joined by
-    id. A page is bad if a label says quality 0 or toxic 1.
+    id. A page is bad if a label says quality 0 or toxic 1. A rule needs
+    ``support`` of the labelled pages and ``LEAST_PAGES`` of them.
     """
     bad = labels.groupBy(F.col("doc_id").alias("page_id")).agg(
         F.max(((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int")).alias("bad")
@@ -86,7 +87,8 @@ def mine_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, co
     known = pages.join(bad, "page_id").select(url_tokens(F.col("url")).alias("tokens"), "bad").where(F.size("tokens") > 0)
     baskets = known.select(F.when(F.col("bad") == 1, F.array_append("tokens", BAD)).otherwise(F.col("tokens")).alias("items"))
     baskets = materialize(baskets, "baskets")
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    share = min(1.0, max(support, LEAST_PAGES / max(1, baskets.count())))
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(baskets)
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
     return rules.select(
         F.xxhash64(F.array_sort("antecedent")).alias("rule_id"), F.array_sort("antecedent").alias("tokens"), "confidence", "support"
