@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, secrets, tokenfile, urls
+from . import decontaminate, packing, quality, secrets, sentences, sharding, suffixes, tokenfile, urls
 from .common import table
 
 
@@ -17,6 +17,14 @@ def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op4_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -29,6 +37,10 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.deduped(table(spark, sf_dir, "documents"))
+
+
 def op8_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"))
 
@@ -38,6 +50,7 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = (
-    op1_secret_scan, op2_pattern_packing, op5_benchmark_decontamination, op6_token_file, op8_adaptive_quality, op9_url_rules,
+    op1_secret_scan, op2_pattern_packing, op3_suffix_dedup, op4_label_propagation_shards, op5_benchmark_decontamination,
+    op6_token_file, op7_sentence_spans, op8_adaptive_quality, op9_url_rules,
 )
 QUERIES = {f.__name__: f for f in _ALL}

@@ -57,11 +57,12 @@ def _round(state: DataFrame, capacity: list[int]) -> tuple[DataFrame, int]:
     room = [max(0, capacity[j] - size.get(j, 0)) for j in range(shards)]
     held = state.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("here"))
     held = materialize(held.withColumn("open", (_by_shard(room) > 0).cast("int")), "held")
-    best = held.groupBy("group").agg(F.max(F.struct("open", "here", (-F.col("shard")).alias("s"))).alias("best"))
-    wish = held.join(best, "group").select(
-        "group", "shard", F.when(F.col("best.here") > F.col("here"), -F.col("best.s")).otherwise(F.col("shard")).alias("target")
-    )
-    wish = materialize(wish.where("target <> shard"), "wish")
+    # Equal counts are told apart by a hash, so that two shards never just swap members.
+    held = held.withColumn("luck", F.xxhash64("group", "shard"))
+    best = held.groupBy("group").agg(F.max(F.struct("open", "here", "luck", F.col("shard").alias("target"))).alias("best"))
+    better = (F.col("best.here") > F.col("here")) | ((F.col("best.here") == F.col("here")) & (F.col("best.luck") > F.col("luck")))
+    wish = held.join(best, "group").where(better).select("group", "shard", "best.target")
+    wish = materialize(wish, "wish")
     asked = materialize(state.join(wish, ["group", "shard"], "left"), "asked")
     movers = asked.where("target is not null")
     requests = {(r["shard"], r["target"]): r["count"] for r in movers.groupBy("shard", "target").count().collect()}
