@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, secrets, sentences, sharding, suffixes, tokenfile, urls
+from . import decontaminate, jaccard, packing, quality, secrets, sentences, sharding, suffixes, tokenfile, urls
 from .common import table
 
 
@@ -49,8 +49,13 @@ def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.link_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 _ALL = (
     op1_secret_scan, op2_pattern_packing, op3_suffix_dedup, op4_label_propagation_shards, op5_benchmark_decontamination,
-    op6_token_file, op7_sentence_spans, op8_adaptive_quality, op9_url_rules,
+    op6_token_file, op7_sentence_spans, op8_adaptive_quality, op9_url_rules, op10_jaccard_join,
 )
 QUERIES = {f.__name__: f for f in _ALL}
