@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..session import fresh_path, materialize, work_dir
 
-__all__ = ["table", "fresh_path", "materialize", "work_dir", "whole_text", "ascii_lower", "text_key", "small", "ranked"]
+__all__ = ["table", "fresh_path", "materialize", "work_dir", "whole_text", "ascii_lower", "text_key", "small", "ranked", "arrow_rows", "wrapped", "unwrapped"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # A table is broadcast only if its measured rows and bytes stay below these.
@@ -35,6 +35,21 @@ def text_key(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def wrapped(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``docs`` as one struct column ``row``, and columns computed from it: no name of theirs can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in columns.items()])
+
+
+def unwrapped(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``row``, some of them replaced."""
+    return rows.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in columns])
+
+
+def arrow_rows(spark: SparkSession, rows: int) -> None:
+    """At most so many rows go to a Python worker at once: texts are long, and both sides hold a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def small(df: DataFrame, *texts: str, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
     """Whether a written table is small enough to broadcast: rows and bytes of its text columns are counted."""
     total = F.lit(0)

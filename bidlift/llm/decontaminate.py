@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize, small, text_key, whole_text
+from .common import ascii_lower, materialize, small, text_key, unwrapped, whole_text, wrapped
 
 # What is not a word character.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -202,12 +202,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, action
     if action not in ("drop", "spans"):
         raise ValueError(f"unknown action {action!r}")
     _, found, _ = search(docs, benchmark, n, [], text)
-    found = found.select(F.col("text_key").alias("_text_key"), F.col("hits").alias("_hits"))
-    key = text_key(whole_text(text))
-    keyed = docs.withColumn("_text_key", key)
+    keyed = wrapped(docs, text_key=text_key(whole_text(text)))
     if action == "drop":
-        return keyed.join(found, "_text_key", "left_anti").select(*docs.columns)
-    original = F.array_remove(F.split(whole_text(text), NOT_ANY_WORD), "")
-    pieces = without_spans(whole_text(text), original, F.col("_hits"))
-    cleaned = F.when(F.col("_hits").isNull(), F.col(text)).otherwise(pieces)
-    return keyed.join(found, "_text_key", "left").withColumn(text, cleaned).select(*docs.columns)
+        return unwrapped(keyed.join(found, "text_key", "left_anti"), docs.columns)
+    joined = keyed.join(found.select("text_key", "hits"), "text_key", "left")
+    whole = whole_text(F.col("row")[text])
+    words = F.array_remove(F.split(whole, NOT_ANY_WORD), "")
+    cleaned = F.when(F.col("hits").isNull(), F.col("row")[text]).otherwise(without_spans(whole, words, F.col("hits")))
+    return unwrapped(joined, docs.columns, **{text: cleaned})

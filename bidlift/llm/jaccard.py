@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_text
+from .common import arrow_rows, materialize, unwrapped, whole_text, wrapped
 
 WORDS, PERCENT = 3, 90
 MEMBERS, QUERIES = 512, 2048
@@ -309,6 +309,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     """A row per document row: doc_id, rk (key of id and text), n_shingles, component_id, n_links (different sets it links with)."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    arrow_rows(spark, 1000)
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), whole_text(text).alias("text"))
     rows = rows.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
     seen = spark.sparkContext.broadcast(counters(rows, words))
@@ -346,7 +347,7 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_
     # Components without any id, and texts without words, are told apart by the row's own key.
     alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
     best = found.groupBy(F.col("component_id"), F.when(alone, F.col("rk")).alias("own")).agg(F.min(place).alias("p"))
-    best = materialize(best.select(F.col("p.rk").alias("_rk")).distinct(), "best")
-    key = row_key(F.col(id).cast("bigint"), whole_text(text))
-    kept = docs.withColumn("_key", key).join(best.hint("merge"), F.col("_key") == F.col("_rk"), "left_semi")
-    return kept.dropDuplicates(["_key"]).select(*docs.columns)
+    best = materialize(best.select("p.rk").distinct(), "best")
+    keyed = wrapped(docs, rk=row_key(F.col(id).cast("bigint"), whole_text(text)))
+    kept = keyed.join(best.hint("merge"), "rk", "left_semi").dropDuplicates(["rk"])
+    return unwrapped(kept, docs.columns)

@@ -28,8 +28,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, ranked
-from .tokens import encoder, groups
+from .common import arrow_rows, materialize, ranked
+from .tokens import ARROW_ROWS, encoder, groups
 
 WIDTH = 1024
 END = 2
@@ -192,4 +192,5 @@ def pack(cut: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def pack_documents(docs: DataFrame, width: int = WIDTH, end: int = END, tokenizer: str | None = None, lead: str = " ", with_ids: bool = False, id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per piece of every document with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    arrow_rows(docs.sparkSession, ARROW_ROWS)
     return pack(materialize(pieces(docs, width, end, tokenizer, lead, with_ids, id, text), "pieces"), width)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import arrow_rows, materialize, unwrapped, wrapped
 
 SYMBOL = re.compile(r"[#*$%&|<>]")  # fixed value
 SPACES = " \t\n\x0b\x0c\r"
@@ -68,6 +68,7 @@ def with_counts(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
             found = pa.StructArray.from_arrays(columns, fields=list(kind))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, name])
 
+    arrow_rows(docs.sparkSession, 1000)
     fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(add, f"{fields}, `{name}` {STATS}")
 
@@ -172,6 +173,5 @@ def filter_documents(docs: DataFrame, text: str = "text", lang: str = "lang", so
     narrow = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
     sketch = materialize(sketches(with_counts(narrow, "counts")), "sketch")
     limits = materialize(thresholds(sketch), "limits")
-    inner = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
-    counted = with_counts(inner.select("row", "text", "lang", "source"), "counts")
-    return judged(counted, limits).where("kept").select("row.*")
+    inner = wrapped(docs, text=F.col(text), lang=F.col(lang), source=F.col(source))
+    return unwrapped(judged(with_counts(inner, "counts"), limits).where("kept"), docs.columns)

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_text
+from .common import materialize, unwrapped, whole_text, wrapped
 
 try:  # the parser of Python's regular expressions
     from re import _constants as sre, _parser as sre_parse
@@ -158,23 +158,23 @@ def spans_of(text: Column, rule: Rule, order: int) -> Column:
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``spans_by_rule``: for each rule its array of spans."""
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(id), whole_text(text)))
+    """(row: all columns of ``docs``, whole: its text, spans_by_rule: for each rule its array of spans)."""
+    keyed = wrapped(docs, key=F.xxhash64(F.col(id), whole_text(text)), whole=whole_text(text))
     queries = [trigram_query(r.pattern) for r in rules]
     trigrams = sorted({t for q in queries for c in q for t in c})
-    texts = keyed.select(F.col("_key").alias("key"), whole_text(text).alias("text"))
+    texts = docs.select(F.xxhash64(F.col(id), whole_text(text)).alias("key"), whole_text(text).alias("text"))
     postings = materialize(build_index(texts, trigrams), "postings")
     found = materialize(candidates(postings, rules), "candidates")
-    rows = keyed.join(found.withColumnRenamed("key", "_key").withColumnRenamed("rules", "_rules"), "_key", "left")
-    bits = F.coalesce("_rules", F.lit(0))
+    rows = keyed.join(found, "key", "left")
+    bits = F.coalesce("rules", F.lit(0))
     by_rule = []
     for r, (rule, query) in enumerate(zip(rules, queries)):
-        spans = spans_of(whole_text(text), rule, r)
+        spans = spans_of(F.col("whole"), rule, r)
         if query:
             none = F.array().cast("array<struct<start:int,kind_order:int,end:int,kind:string>>")
             spans = F.when(bits.bitwiseAND(1 << r) != 0, spans).otherwise(none)
         by_rule.append(spans)
-    return rows.withColumn("spans_by_rule", F.array(*by_rule)).drop("_key", "_rules")
+    return rows.select("row", "whole", F.array(*by_rule).alias("spans_by_rule"))
 
 
 def told(spans: Column) -> Column:
@@ -190,7 +190,7 @@ def told(spans: Column) -> Column:
 def scan_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document row: counts of the base kinds, the digest of their spans, and all spans."""
     found = find_secrets(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), RULES)
-    found = found.select("doc_id", "spans_by_rule")
+    found = found.select("row.doc_id", "spans_by_rule")
     base = F.flatten(F.slice("spans_by_rule", 1, len(BASE)))
     counts = [F.size(F.col("spans_by_rule")[i]).cast("bigint").alias(f"n_{r.name}") for i, r in enumerate(BASE)]
     return found.select(
@@ -200,25 +200,21 @@ def scan_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by ``mark``; overlapping spans by one mark. Texts without a span stay as they are."""
-    found = find_secrets(docs, RULES, id, text)
-    spans = F.array_sort(F.flatten("spans_by_rule"))
-    whole = whole_text(text)
+    found = find_secrets(docs, RULES, id, text).withColumn("spans", F.array_sort(F.flatten("spans_by_rule")))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, s):
-        gap = F.substring(whole, acc["at"] + 1, s["start"] - acc["at"])
+        gap = F.substring(F.col("whole"), acc["at"] + 1, s["start"] - acc["at"])
         return F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(mark)))
-            .otherwise(acc["out"])
-            .alias("out"),
+            F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"),
         )
 
-    rest = F.aggregate(
-        spans, start, step, lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"] + 1, F.char_length(whole)))
-    )
-    cleaned = F.when(F.size(spans) > 0, rest).otherwise(F.col(text))
-    return found.withColumn("_text", cleaned).drop(text, "spans_by_rule").withColumnRenamed("_text", text).select(*docs.columns)
+    def rest(acc):
+        return F.concat(acc["out"], F.substring(F.col("whole"), acc["at"] + 1, F.char_length("whole")))
+
+    cleaned = F.when(F.size("spans") > 0, F.aggregate("spans", start, step, rest)).otherwise(F.col("row")[text])
+    return unwrapped(found, docs.columns, **{text: cleaned})
 
 
 __all__ = ["Rule", "RULES", "BASE", "EXTRA", "trigram_query", "build_index", "candidates", "find_secrets", "scan_secrets", "redact"]

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, whole_text
+from .common import arrow_rows, materialize, whole_text, wrapped
 
 SENTENCE = re.compile(r"\S.*?(?:(?<=[.!?])(?=\s)|(?=\n)|\Z)\s*", re.S)
 LEAST_SENTENCES, LEAST_WORDS = 2, 20
@@ -92,10 +92,11 @@ def removals(found: DataFrame) -> DataFrame:
 def dedup_sentences(docs: DataFrame, least: int = LEAST_SENTENCES, words: int = LEAST_WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with a struct ``_dedup`` (text, n_sentences, n_removed, removed_words); all columns stay."""
     key = F.xxhash64(whole_text(text))
+    arrow_rows(docs.sparkSession, 1000)
     narrow = docs.select(F.col(id).cast("bigint").alias("doc_id"), key.alias("key"), F.col(text).alias("text"))
     cut = removals(spans(narrow, least, words))
     cut = materialize(cut, "cut").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("cut").alias("_cut"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id).cast("bigint").alias("i"), F.col(text).alias("text"), key.alias("k"))
+    rows = wrapped(docs, i=F.col(id).cast("bigint"), text=F.col(text), k=key)
     joined = rows.join(cut.hint("merge"), F.col("i").eqNullSafe(F.col("_id")) & (F.col("k") == F.col("_key")), "left")
     joined = joined.select("row", "text", "_cut")
 

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .coder import decode_blocks, encode_blocks
-from .common import fresh_path, materialize, whole_text
-from .tokens import encoder, groups
+from .common import arrow_rows, fresh_path, materialize, whole_text
+from .tokens import ARROW_ROWS, encoder, groups
 
 END = 1
 BLOCK, SEGMENT = 2048, 6_000_000
@@ -82,6 +82,7 @@ def write_token_file(docs: DataFrame, path: str, end: int = END, tokenizer: str
 
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), whole_text(text).alias("text"))
     spread = rows.withColumn("tie", F.xxhash64("text"))
+    arrow_rows(docs.sparkSession, ARROW_ROWS)
     ordered = spread.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     coded = ordered.mapInArrow(code, FILE.removeprefix("part int, "))
     coded.select(F.spark_partition_id().alias("part"), "*").write.parquet(path)
@@ -114,7 +115,7 @@ def read_token_file(spark: SparkSession, path: str, classes: int = CLASSES, with
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    arrow_rows(spark, 1)  # a row is a whole segment
     stored = spark.read.schema(FILE).parquet(path)
     return stored.mapInArrow(decode, INDEX + (", ids array<bigint>" if with_ids else ""))
 

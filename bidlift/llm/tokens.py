@@ -14,11 +14,11 @@ from itertools import chain, repeat
 
 import numpy as np
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-MOST_WORDS = 250_000
-CHARACTERS = 2_000_000
+MOST_WORDS = 200_000
+CHARACTERS = 1_000_000
+AT_ONCE = 4096  # words encoded in one call: an encoding holds far more than its ids
+ARROW_ROWS = 500
 
 
 class WordEncoder:
@@ -29,6 +29,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str, lead: str):
+        # Workers already run side by side; threads of each would only add memory and contention.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -42,7 +44,9 @@ class WordEncoder:
         self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
 
     def _learn(self, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        found: list[list[int]] = []
+        for k in range(0, len(words), AT_ONCE):
+            found += [e.ids for e in self.tokenizer.encode_batch(words[k : k + AT_ONCE], add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
         first, total = len(self.known), int(size.sum())
         while first + len(words) > len(self.start):
