@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import click_active, date_band
 
@@ -17,17 +18,34 @@ def ad_counts(log: DataFrame, key: str) -> DataFrame:
     )
 
 
+def by_level(log: DataFrame) -> DataFrame:
+    """Counters of creatives and campaigns (``level``) in one pass over the log."""
+    ids = F.explode(
+        F.array(*[F.struct(F.lit(k).alias("level"), F.col(f"ad.{k}").cast("bigint").alias("ad_id")) for k in ("axid", "adid")])
+    )
+    flat = log.select("has_active", click_active().alias("click_active"), ids.alias("id"))
+    return flat.groupBy("id.ad_id", "id.level").agg(
+        F.count(F.lit(1)).alias("sessions"),
+        F.count_if(F.col("has_active") == 1).alias("actives"),
+        F.count_if(F.col("click_active") == 1).alias("click_actives"),
+    )
+
+
+def ranked_counts(levels: DataFrame, figure: str = "sessions") -> DataFrame:
+    """One counter per ad, with its rank within the level, most first. Ads without any are left out."""
+    order = Window.partitionBy("level").orderBy(F.desc("num"), "ad_id")
+    return levels.where(F.col(figure) > 0).select("ad_id", F.col(figure).alias("num"), "level").withColumn(
+        "rank", F.row_number().over(order).cast("bigint")
+    )
+
+
 def rows_per_ad(log: DataFrame, key: str, only: str | None = None) -> DataFrame:
-    """Rows per ad, most first; ``only`` keeps rows where this column is 1."""
+    """Rows per ad; ``only`` keeps rows where this column is 1."""
     if only == "click_active":
         log = log.where(click_active() == 1)
     elif only:
         log = log.where(F.col(only) == 1)
-    return (
-        log.groupBy(F.col(f"ad.{key}").alias("ad_id"))
-        .agg(F.count(F.lit(1)).alias("num"))
-        .orderBy(F.desc("num"), "ad_id")
-    )
+    return log.groupBy(F.col(f"ad.{key}").alias("ad_id")).agg(F.count(F.lit(1)).alias("num"))
 
 
 def id_pairs(log: DataFrame) -> DataFrame:
@@ -36,7 +54,6 @@ def id_pairs(log: DataFrame) -> DataFrame:
         log.where("ad.adid != 0")
         .select(F.col("ad.axid").alias("axid"), F.col("ad.adid").alias("adid"))
         .distinct()
-        .orderBy("adid", "axid")
     )
 
 

@@ -26,10 +26,11 @@ def lookup_left(
     number, so these are broadcast, which takes the frequent keys out of the
     shuffle, and only facts with rare or unknown keys are joined by shuffling.
     """
-    texts = [f.name for f in table.schema.fields if f.name in keys and f.dataType.simpleString() == "string"]
+    # Keys decide the way of a row; other texts are broadcast along and count as well.
+    texts = [f.name for f in table.schema.fields if f.dataType.simpleString() == "string"]
     short = F.lit(True)
     for name in texts:
-        short = short & (F.length(name) <= SHORT_TEXT)
+        short = short & (F.coalesce(F.octet_length(name), F.lit(0)) <= SHORT_TEXT)
     summary = table.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(popularity).alias("total"),
@@ -38,7 +39,8 @@ def lookup_left(
     lean = table.drop(popularity)
     if summary["n"] <= max_rows and summary["short"] is not False:
         return facts.join(F.broadcast(lean), keys, "left")
-    hot = short & (F.col(popularity) * max_rows >= F.lit(summary["total"]))
+    # A NULL popularity is none: such keys stay in the shuffled half.
+    hot = short & F.coalesce(F.col(popularity) * max_rows >= F.lit(summary["total"]), F.lit(False))
     hot_keys = F.broadcast(table.where(hot).drop(popularity))
     cold = table.where(~hot).drop(popularity)
     found = facts.join(hot_keys, keys, "inner")

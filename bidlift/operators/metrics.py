@@ -14,7 +14,8 @@ SLICES = 256
 def auc(scored: DataFrame, key: str = "ad_id", label: str = "click_active", score: str = "score", slices: int = SLICES) -> DataFrame:
     """Area under the ROC curve per ad, ties counted half; 0.5 where one class is missing.
 
-    Scores are compared to twelve digits: sums of the same terms in another
+    A NULL score ties with the other NULLs below all scores, so that no row and
+    no ad is lost. Scores are compared to twelve digits: sums of the same terms in another
     order differ beyond these, and should still tie.
     Equal scores of an ad are merged first. Each ad's distinct scores are then
     cut into slices of about equal size, so a hot ad is spread over ``slices``
@@ -22,8 +23,7 @@ def auc(scored: DataFrame, key: str = "ad_id", label: str = "click_active", scor
     """
     hit = F.when(F.col(label) == 1, 1).otherwise(0)
     merged = materialize(
-        scored.where(F.col(score).isNotNull())
-        .groupBy(key, F.round(score, 12).alias("s"))
+        scored.groupBy(key, F.coalesce(F.round(score, 12), F.lit(float("-inf"))).alias("s"))
         .agg(F.sum(hit).alias("pos"), F.sum(1 - hit).alias("neg")),
         "auc",
     )

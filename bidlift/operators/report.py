@@ -73,8 +73,3 @@ def report_adid(meta: DataFrame, state: DataFrame, names: DataFrame) -> DataFram
         .select("adid", "remark", "test_cvr", "has_active", "session", "cols", "update_time", "time")
         .orderBy(F.desc("adid"), "time")
     )
-
-
-def preview(report: DataFrame, n: int = 100) -> DataFrame:
-    """The first rows of a sorted report."""
-    return report.limit(n)

@@ -37,9 +37,20 @@ def stratified_sample(
     )
 
 
-def uniform_sample(rows: DataFrame, num: int, limit: int = 5_000_000, cap: int = 4_000_000, seed: int = 0) -> DataFrame:
-    """A sample of about ``cap`` rows when there are more than ``limit``."""
-    return rows.sample(False, cap / num, seed) if num > limit else rows
+def no_sample(rows: DataFrame) -> DataFrame:
+    """Row count per ad and the fraction 1, for rows that were not sampled."""
+    return rows.groupBy("ad_id").agg(F.count(F.lit(1)).alias("num")).withColumn("fraction", F.lit(1.0))
+
+
+def uniform_sample(
+    rows: DataFrame, fraction: float, keys: list[str] | None = None, bucket: Column | None = None, seed: int = 0
+) -> DataFrame:
+    """The rows whose bucket lies below ``fraction``: the same rows in every run."""
+    if bucket is None:
+        if not keys:
+            raise ValueError("give the row's key columns, or a bucket")
+        bucket = sample_bucket(keys, seed, BUCKETS)
+    return rows.where(bucket < fraction * BUCKETS)
 
 
 def assign_folds(rows: DataFrame, n: int, keys: list[str] | None = None, bucket: Column | None = None, seed: int = 20) -> DataFrame:

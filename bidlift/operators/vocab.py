@@ -12,6 +12,7 @@ from ..schemas import FIELD_POS, FIRST_MULTI_POS
 from .lookup import BROADCAST_ROWS, lookup_left
 from ..session import materialize
 
+# Fixed value: the vocabulary of a model.
 VOCABULARY = 20_000
 _SPREAD = 64
 _PREFIX = 3  # hex digits: 4,096 buckets per field
@@ -50,7 +51,7 @@ def token_distinct(rows: DataFrame) -> DataFrame:
     return tokenize(rows, []).distinct()
 
 
-def top_tokens(weights: DataFrame, k: int = VOCABULARY) -> DataFrame:
+def top_tokens(weights: DataFrame, k: int) -> DataFrame:
     """The ``k`` heaviest tokens of every ad, with their rank.
 
     Two steps keep a hot ad out of a single task: the best ``k`` of each of 64

@@ -37,11 +37,14 @@ from . import testbed as B
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The vocabulary queries cut here, so that the limit shows on these tables; the
-# operators' own default is 20,000.
+# The queries on the cut itself cut here, so that it shows on these tables; all
+# others cut at ``vocab.VOCABULARY``.
 VOCABULARY_CUT = 100
 # Sampling limits at which these tables are sampled.
 SAMPLE_LIMIT, SAMPLE_CAP = 300, 200
+# The same for the rows behind a discount.
+DISCOUNT_LIMIT, DISCOUNT_CAP = 50, 40
+UNIFORM_SHARE = 0.4
 # The day the ingest queries take for today.
 TODAY = dt.date(2001, 6, 1)
 KEEP = ("row_key", "row_seq")
@@ -196,10 +199,11 @@ def libsvm_roundtrip(spark, sf):
 
 
 def publish_snapshot(spark, sf):
-    """Two runs are published; the reader gets the later one."""
+    """Two runs over the whole log are published, of actives and of all sessions; the reader gets the later one."""
     root = fresh_path(spark, "published")
-    for run, day in (("2001-11-01_00-00-00", "2000-01-01"), ("2001-12-01_00-00-00", "2000-06-01")):
-        table = counts.ad_counts(B.session_core(spark, sf, day), "axid")
+    log = B.session_core(spark, sf, spread=False)
+    for run, part in (("2001-11-01_00-00-00", log.where("has_active = 1")), ("2001-12-01_00-00-00", log)):
+        table = counts.ad_counts(part, "axid")
         tables.publish_snapshot({"ad_counts": table}, root, run)
     return tables.read_snapshot(spark, root, "ad_counts")
 
@@ -212,18 +216,15 @@ def click_active(spark, sf):
 
 
 def session_counts(spark, sf):
-    log = B.session_core(spark, sf, B.SPLIT_DAY)
-    return _both_levels(lambda level: counts.rows_per_ad(log, level))
+    return counts.ranked_counts(counts.by_level(B.session_core(spark, sf, B.SPLIT_DAY, spread=False)))
 
 
 def active_counts(spark, sf):
-    log = B.session_core(spark, sf, B.SPLIT_DAY)
-    return _both_levels(lambda level: counts.rows_per_ad(log, level, "has_active"))
+    return counts.ranked_counts(counts.by_level(B.session_core(spark, sf, B.SPLIT_DAY, spread=False)), "actives")
 
 
 def click_active_counts(spark, sf):
-    log = B.session_core(spark, sf, B.SPLIT_DAY)
-    return _both_levels(lambda level: counts.rows_per_ad(log, level, "click_active"))
+    return counts.ranked_counts(counts.by_level(B.session_core(spark, sf, B.SPLIT_DAY, spread=False)), "click_actives")
 
 
 def _both_levels(make: Callable[[str], DataFrame]) -> DataFrame:
@@ -232,8 +233,7 @@ def _both_levels(make: Callable[[str], DataFrame]) -> DataFrame:
 
 
 def ad_counts(spark, sf):
-    log = B.session_core(spark, sf)
-    return _both_levels(lambda level: counts.ad_counts(log, level))
+    return counts.by_level(B.session_core(spark, sf, spread=False))
 
 
 def id_pairs(spark, sf):
@@ -402,23 +402,23 @@ def feature_dict(spark, sf):
 
 
 def field_sizes(spark, sf):
-    return vocab.field_sizes(_dict(_training(spark, sf, "axid"), VOCABULARY_CUT)).drop("field_pos")
+    return vocab.field_sizes(_dict(_training(spark, sf, "axid"))).drop("field_pos")
 
 
 def field_offsets(spark, sf):
-    sizes = vocab.field_sizes(_dict(_training(spark, sf, "axid"), VOCABULARY_CUT))
+    sizes = vocab.field_sizes(_dict(_training(spark, sf, "axid")))
     return vocab.field_offsets(sizes).drop("field_pos")
 
 
 def encode_rows(spark, sf):
     training = _training(spark, sf, "axid")
-    encoded = vocab.encode_rows(training, _dict(training, VOCABULARY_CUT), ["row_key", "has_active", "click_active"])
+    encoded = vocab.encode_rows(training, _dict(training), ["row_key", "has_active", "click_active"])
     return encoded.select("row_key", "ad_id", "has_active", "click_active", _joined("idx"))
 
 
 def decode_features(spark, sf):
     training = _training(spark, sf, "axid")
-    dictionary = _dict(training, VOCABULARY_CUT)
+    dictionary = _dict(training)
     encoded = materialize(vocab.encode_rows(training, dictionary, ["row_key"]), "encoded")
     decoded = vocab.decode_features(encoded, dictionary, ["row_key"])
     return decoded.select(
@@ -455,8 +455,7 @@ def stratified_sample(spark, sf):
 
 def uniform_sample(spark, sf):
     log = B.session_core(spark, sf)
-    num = log.count()
-    return sampling.uniform_sample(log, num, limit=num // 2, cap=num * 2 // 5).select("row_key", "has_active")
+    return sampling.uniform_sample(log, UNIFORM_SHARE, bucket=_bucket()).select("row_key", "has_active")
 
 
 def fold_assign(spark, sf):
@@ -518,8 +517,12 @@ def score_logodds(spark, sf):
 def auc(spark, sf):
     encoded, scores, base = _fitted(spark, sf)
     scored = smoothing.score_rows(encoded, scores, base, ["row_key", "click_active"])
-    rounded = scored.withColumn("score", F.round("score", 6))
-    return metrics.auc(rounded).withColumn("auc", F.round("auc", 6))
+    return metrics.auc(_or_average(scored, base)).withColumn("auc", F.round("auc", 6))
+
+
+def _or_average(scored: DataFrame, base: DataFrame) -> DataFrame:
+    """Rows that the tables say nothing about score their model's average, as in scoring."""
+    return scored.join(base, "ad_id", "left").withColumn("score", F.coalesce("score", "average")).drop("average")
 
 
 # -- calibration --------------------------------------------------------------
@@ -531,10 +534,15 @@ def _click_actives(spark, sf, level: str) -> DataFrame:
 
 
 def discount(spark, sf):
-    encoded, scores, base = _fitted(spark, sf)
-    scored = smoothing.score_rows(encoded, scores, base, ["row_key", "click_active"])
+    """Fitted on sampled rows, so divided by the same fractions."""
+    training = _training(spark, sf, "adid")
+    fractions = materialize(sampling.sample_fractions(training, DISCOUNT_LIMIT, DISCOUNT_CAP), "fractions")
+    kept = materialize(sampling.stratified_sample(training, fractions, bucket=_bucket()).drop("fraction"), "kept")
+    encoded = materialize(vocab.encode_rows(kept, _dict(kept), ROW_COLUMNS), "encoded")
+    base = materialize(smoothing.averages(encoded), "base")
+    scores = materialize(smoothing.score_table(smoothing.feature_stats(encoded), base), "scores")
+    scored = _or_average(smoothing.score_rows(encoded, scores, base, ["row_key", "click_active"]), base)
     predicted = sampling.training_weights(scored).withColumnRenamed("score", "p")
-    fractions = materialize(sampling.sample_fractions(encoded), "fractions")
     out = calibrate.discount(predicted, _click_actives(spark, sf, "adid"), fractions)
     return out.withColumn("discount", F.round("discount", 6))
 
@@ -592,7 +600,21 @@ def _priced(df: DataFrame) -> DataFrame:
 def _smoothed_models(spark, sf, meta: DataFrame) -> scoring.SmoothedModels:
     flat = rows.training_rows(B.new_sessions(spark, sf), B.old_sessions(spark, sf), None, keep=KEEP)
     training = materialize(rows.model_rows(derive_fields(flat), meta), "rows")
-    return scoring.fit_smoothed(training)
+    return scoring.fit_smoothed(training, vocab.VOCABULARY)
+
+
+def score_saved_models(spark, sf):
+    """Two runs are fitted and published; requests are priced with the latest one's tables, read back."""
+    meta, routes, default = _routing(spark, sf)
+    flat = rows.training_rows(B.new_sessions(spark, sf), B.old_sessions(spark, sf), None, keep=KEEP)
+    training = materialize(rows.model_rows(derive_fields(flat), meta), "rows")
+    root = fresh_path(spark, "models")
+    for run, prior in (("2001-11-01_00-00-00", 50.0), ("2001-12-01_00-00-00", smoothing.PRIOR)):
+        scoring.save_models(scoring.fit_smoothed(training, vocab.VOCABULARY, prior=prior), meta, root, run)
+    models, meta = scoring.load_models(spark, root)
+    return _priced(
+        scoring.score_requests(B.bid_log(spark, sf), models, routes, default, meta, B.bid_correction(spark, sf))
+    )
 
 
 def score_requests(spark, sf):
@@ -628,7 +650,7 @@ def cvr_model(spark, sf):
         training.prepare(encoded, ["row_key"]),
         _model_widths(dictionary),
         _click_actives(spark, sf, "adid"),
-        materialize(sampling.sample_fractions(encoded), "fractions"),
+        materialize(sampling.no_sample(encoded), "fractions"),
     )
     constants = calibrate.bid_constant(
         calibrate.bid_average(encoded, "bidprice"), _click_actives(spark, sf, "adid")
@@ -672,7 +694,7 @@ def _widths(spark, sf) -> DataFrame:
     meta = materialize(B.model_meta(spark, sf), "meta")
     flat = rows.training_rows(B.new_sessions(spark, sf), B.old_sessions(spark, sf), None, keep=KEEP)
     training = rows.model_rows(derive_fields(flat), meta)
-    dictionary = vocab.feature_dict(vocab.top_tokens(vocab.token_weights(training), VOCABULARY_CUT))
+    dictionary = vocab.feature_dict(vocab.top_tokens(vocab.token_weights(training), vocab.VOCABULARY))
     registry = tables.model_registry(meta, vocab.field_sizes(dictionary))
     return registry.withColumn("col_num", F.col("cols")).drop("cols")
 
@@ -854,6 +876,7 @@ QUERIES: dict[str, Query] = {
     "route_model_by_auc": route_model_by_auc,
     "bid_price": bid_price,
     "score_requests": score_requests,
+    "score_saved_models": score_saved_models,
     "cross_auc": cross_auc,
     "cvr_model": cvr_model,
     "bid_model": bid_model,

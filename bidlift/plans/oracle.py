@@ -161,6 +161,14 @@ def _smoothing(level: str = "adid") -> str:
     return f"{_dict(level)}, {_encoded()}, {_FLAT_IDX}, {_PAIRS}, {_BASE}, {_STATS}, {_SMOOTH}"
 
 
+_DISCOUNT_ROWS = f"""{_training("adid")},
+drawn AS (SELECT ad_id, CASE WHEN count(*) > {Q.DISCOUNT_LIMIT} THEN {Q.DISCOUNT_CAP} / count(*) ELSE CAST(1 AS DOUBLE) END AS fraction
+  FROM derived GROUP BY 1),
+sampled AS (SELECT d.* FROM derived d JOIN drawn f USING (ad_id) WHERE f.fraction >= 1 OR has_active = 1
+  OR (has_active = 0 AND row_seq * 7919 % 1000000 < f.fraction * 1000000)),
+{_tokens("sampled", "row_key, ad_id, has_active, click_active")}, {_WEIGHTS}, {_top(20_000)}, {_DICT}, {_encoded("sampled")}"""
+
+
 def _scored(num: str, den: str, weight: float, final: str) -> str:
     """``scored``: score per row of ``enc`` from the terms of its keys."""
     return f"""keyed AS (
@@ -269,9 +277,9 @@ request_terms AS (
 request_scores AS (SELECT row_key, sum(s) / count(*) AS score FROM request_terms GROUP BY 1),
 requests AS (
   SELECT q.row_key, q.axid, q.use_model, coalesce(s.score, b.average) AS p
-  FROM request_rows q LEFT JOIN request_scores s USING (row_key) LEFT JOIN base b ON b.ad_id = q.use_model)"""
+  FROM asked q LEFT JOIN request_scores s USING (row_key) LEFT JOIN base b ON b.ad_id = q.use_model)"""
 
-_WIDTHS = f"""{_MODEL_ROWS}, {_top(Q.VOCABULARY_CUT)}, {_DICT},
+_WIDTHS = f"""{_MODEL_ROWS}, {_top(20_000)}, {_DICT},
 widths AS (SELECT ad_id, count(*) AS cols FROM dict GROUP BY 1),
 full_meta AS (SELECT m.* EXCLUDE (col_num), w.cols AS col_num FROM meta m LEFT JOIN widths w ON m.ad_id = w.ad_id)"""
 
@@ -298,7 +306,8 @@ _GDICT = f"""gdict AS (
   FROM (SELECT DISTINCT field_pos, field, value FROM bid_tokens)
   WHERE field_pos < {FIRST_MULTI_POS} OR value <> '')"""
 
-_LEVELS = "SELECT {level} AS ad_id, count(*) AS num, '{level}' AS level FROM core WHERE {where} GROUP BY 1"
+_LEVELS = """SELECT {level} AS ad_id, count(*) AS num, '{level}' AS level,
+  row_number() OVER (ORDER BY count(*) DESC, {level}) AS rank FROM core WHERE {where} GROUP BY 1"""
 
 
 def _by_level(where: str) -> str:
@@ -356,7 +365,7 @@ SELECT CAST(ad_id AS VARCHAR) AS line FROM ads UNION ALL SELECT CAST(ad_id AS VA
     "libsvm_roundtrip": f"""WITH {_dict("axid")}, {_encoded()}
 SELECT CAST(coalesce(has_active, 0) AS BIGINT) AS label, {_libsvm_line()} AS features FROM enc""",
     "publish_snapshot": f"""WITH {_CORE} SELECT axid AS ad_id, count(*) AS sessions, count(*) FILTER (WHERE has_active = 1) AS actives,
-  count(*) FILTER (WHERE click_active = 1) AS click_actives FROM core WHERE date >= DATE '2000-06-01' GROUP BY 1""",
+  count(*) FILTER (WHERE click_active = 1) AS click_actives FROM core GROUP BY 1""",
     "click_active": f"WITH {_CORE} SELECT row_key, has_click, has_active, click_active FROM core",
     "session_counts": _by_level(_NEW),
     "active_counts": _by_level(f"{_NEW} AND has_active = 1"),
@@ -439,12 +448,12 @@ SELECT ad_id, field, value, weight, rank FROM top_tokens""",
     "cutoff_weight": f"""WITH {_training("axid")}, {_tokens("derived", "row_key, ad_id")}, {_WEIGHTS}, {_top(Q.VOCABULARY_CUT)}
 SELECT ad_id, min(weight) AS cutoff, count(*) AS kept FROM top_tokens GROUP BY 1""",
     "feature_dict": f"""WITH {_dict("axid", Q.VOCABULARY_CUT)} SELECT ad_id, field, value, weight, global_idx, local_idx FROM dict""",
-    "field_sizes": f"""WITH {_dict("axid", Q.VOCABULARY_CUT)} SELECT ad_id, field, count(*) AS size FROM dict GROUP BY 1, 2""",
-    "field_offsets": f"""WITH {_dict("axid", Q.VOCABULARY_CUT)} SELECT ad_id, field, count(*) AS size,
+    "field_sizes": f"""WITH {_dict("axid")} SELECT ad_id, field, count(*) AS size FROM dict GROUP BY 1, 2""",
+    "field_offsets": f"""WITH {_dict("axid")} SELECT ad_id, field, count(*) AS size,
   min(global_idx) AS "offset" FROM dict GROUP BY 1, 2""",
-    "encode_rows": f"""WITH {_dict("axid", Q.VOCABULARY_CUT)}, {_encoded()}
+    "encode_rows": f"""WITH {_dict("axid")}, {_encoded()}
 SELECT row_key, ad_id, has_active, click_active, array_to_string(idx, ',') AS idx FROM enc""",
-    "decode_features": f"""WITH {_dict("axid", Q.VOCABULARY_CUT)}
+    "decode_features": f"""WITH {_dict("axid")}
 SELECT DISTINCT t.row_key, t.ad_id, d.global_idx, d.field || '_:_' || d.value AS feature
 FROM tokens t JOIN dict d ON t.ad_id = d.ad_id AND t.field_pos = d.field_pos AND t.value = d.value""",
     "to_vector": f"""WITH {_dict("axid")}, {_encoded()} SELECT row_key, ad_id, {_libsvm_line()} AS features FROM enc""",
@@ -467,14 +476,17 @@ SELECT row_key, ad_id, round(score, 6) AS score FROM scored""",
     "score_logodds": f"""WITH {_smoothing()}, {_scored("w * (ln(s) - ln(average))", "0", 1, "coalesce(num, 0)")}
 SELECT row_key, ad_id, round(score, 6) AS score FROM scored""",
     "auc": f"""WITH {_smoothing()}, {_MEAN},
-ordered AS (SELECT ad_id, coalesce(click_active, 0) AS y, rank() OVER w + (count(*) OVER (PARTITION BY ad_id, round(score, 6)) - 1) / 2.0::DOUBLE AS r
-  FROM scored WHERE score IS NOT NULL WINDOW w AS (PARTITION BY ad_id ORDER BY round(score, 6))),
+filled AS (SELECT ad_id, coalesce(click_active, 0) AS y, round(coalesce(score, average), 12) AS s FROM scored JOIN base USING (ad_id)),
+ordered AS (SELECT ad_id, y, rank() OVER w + (count(*) OVER (PARTITION BY ad_id, s) - 1) / 2.0::DOUBLE AS r
+  FROM filled WINDOW w AS (PARTITION BY ad_id ORDER BY s)),
 agg AS (SELECT ad_id, sum(CASE WHEN y = 1 THEN r END) AS rs, CAST(sum(y) AS DOUBLE) AS np, CAST(count(*) - sum(y) AS DOUBLE) AS nn FROM ordered GROUP BY 1)
 SELECT ad_id, round(CASE WHEN np > 0 AND nn > 0 THEN (rs - np * (np + 1) / 2) / (np * nn) ELSE 0.5 END, 6) AS auc FROM agg""",
-    "discount": f"""WITH {_smoothing()}, {_MEAN},
-pred AS (SELECT ad_id, sum(CASE WHEN click_active = 1 THEN 6 ELSE 1 END * score) AS s FROM scored GROUP BY 1)
-SELECT p.ad_id, round(coalesce(a.click_actives / nullif(p.s, 0), 0), 6) AS discount
-FROM pred p LEFT JOIN (SELECT * FROM ads WHERE click_actives > 0) a ON a.ad_id = p.ad_id""",
+    "discount": f"""WITH {_DISCOUNT_ROWS}, {_FLAT_IDX}, {_PAIRS}, {_BASE}, {_STATS}, {_SMOOTH}, {_MEAN},
+pred AS (SELECT ad_id, sum(CASE WHEN click_active = 1 THEN 6 ELSE 1 END * coalesce(score, average)) AS s
+  FROM scored JOIN base USING (ad_id) GROUP BY 1)
+SELECT p.ad_id, round(coalesce(a.click_actives / nullif(p.s, 0) / f.fraction, 0), 6) AS discount
+FROM pred p JOIN drawn f ON f.ad_id = p.ad_id LEFT JOIN (SELECT * FROM ads WHERE click_actives > 0) a ON a.ad_id = p.ad_id""",
+    "uniform_sample": f"""WITH {_CORE} SELECT row_key, has_active FROM core WHERE row_seq * 7919 % 1000000 < {Q.UNIFORM_SHARE} * 1000000""",
     "bid_average": f"""WITH {_training("axid")} SELECT ad_id,
   round(CAST(sum(CAST(bidprice AS DECIMAL(18,6))) AS DOUBLE) / count(bidprice), 6) AS bid_average, count(*) AS num
 FROM derived GROUP BY 1""",
@@ -493,6 +505,7 @@ LEFT JOIN best b ON b.adid = m.adid""",
     "bid_price": f"""WITH {_CORE}, {_META}, {_IDMAP}, {_ROUTES},
 requests AS (SELECT row_key, axid, use_model, row_seq % 997 / 997.0::DOUBLE AS p FROM core JOIN routes USING (axid)) {_PRICED}""",
     "score_requests": f"WITH {_REQUESTS} {_PRICED}",
+    "score_saved_models": f"WITH {_REQUESTS} {_PRICED}",
     "model_meta": f"""WITH {_CORE}, {_META} SELECT * REPLACE (round(bid_constant, 4) AS bid_constant,
   round(CASE WHEN era = 'new' THEN test_auc - 0.25 ELSE test_auc END, 6) AS test_auc,
   CASE WHEN era = 'new' THEN CAST({B.NOW} AS DOUBLE) ELSE trained_at END AS trained_at) FROM meta""",

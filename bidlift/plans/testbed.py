@@ -86,9 +86,12 @@ def _range(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
     return df
 
 
-def session_core(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+def session_core(
+    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None, spread: bool = True
+) -> DataFrame:
     """Sessions with ids, flags, date and prices only: enough for counting, with one small join."""
-    lineitem = _spread(_range(table(spark, sf_dir, "lineitem"), start, end))
+    lineitem = _range(table(spark, sf_dir, "lineitem"), start, end)
+    lineitem = _spread(lineitem) if spread else lineitem
     return _flags(lineitem, table(spark, sf_dir, "supplier")).select(
         "row_key", "row_seq", "date", "has_click", "has_active",
         _struct(adid=F.col("adid"), axid=F.col("axid")).alias("ad"),

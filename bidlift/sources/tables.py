@@ -12,6 +12,10 @@ from ..session import materialize
 
 # Tables of up to this many rows are written as one file.
 ONE_FILE_ROWS = 1_000_000
+MANIFEST_NAME = "manifest"
+MANIFEST = T.StructType(
+    [T.StructField("run_ts", T.StringType()), T.StructField("tables", T.ArrayType(T.StringType()))]
+)
 
 
 def load_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -53,23 +57,29 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def publish_snapshot(tables: dict[str, DataFrame], root: str, run_ts: str) -> None:
-    """Write each table under its name and the run's timestamp.
+    """Write each table under its name and the run's timestamp, and last the run's manifest.
 
-    A run never overwrites what another run, or its own reader, is using.
+    A run never overwrites what another run, or its own reader, is using, and is
+    seen only once all of its tables are there.
     """
+    spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/{name}/run_ts={run_ts}")
+    manifest = spark.createDataFrame([(run_ts, sorted(tables))], MANIFEST)
+    manifest.coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST_NAME}")
+
+
+def latest_run(spark: SparkSession, root: str) -> str:
+    """The latest run whose manifest is written: one short row per run is read."""
+    found = load_table(spark, f"{root}/{MANIFEST_NAME}", MANIFEST).agg(F.max("run_ts")).first()[0]
+    if found is None:
+        raise ValueError(f"no run is published in {root}")
+    return found
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str, run_ts: str | None = None) -> DataFrame:
     """A table of one run, or of the latest."""
-    table = (
-        spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
-        .withColumn("run_ts", F.col("run_ts").cast("string"))
-    )
-    if run_ts is None:
-        run_ts = table.agg(F.max("run_ts")).first()[0]
-    return table.where(F.col("run_ts") == run_ts).drop("run_ts")
+    return spark.read.parquet(f"{root}/{name}/run_ts={run_ts or latest_run(spark, root)}")
 
 
 def model_registry(meta: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -5,31 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Entries per JSON object. A larger map becomes several objects, one per line.
-ENTRIES_PER_OBJECT = 100_000
-
 
 def write_ids(ads: DataFrame, path: str) -> None:
     """One id per line; an empty list gives an empty folder."""
     ads.select(F.col("ad_id").cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
-def json_objects(df: DataFrame, key: str, value: str, per_object: int = ENTRIES_PER_OBJECT) -> DataFrame:
-    """(key, value) rows as JSON objects, each of about ``per_object`` entries at most.
+def json_objects(df: DataFrame, key: str, value: str, objects: int = 1) -> DataFrame:
+    """(key, value) rows as so many JSON objects; an empty map gives ``{}``.
 
-    A map that fits gives a single object, as a reader of one object expects.
+    One object, as a reader of one object expects, is made in one task; give
+    more for a large map. ``read_json_map`` reads any number of them as one map.
     """
-    parts = max(1, -(-df.count() // per_object))
     entries = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(value).alias("v"))))
-    return (
-        df.groupBy(F.pmod(F.xxhash64(key), F.lit(parts)).alias("_p"))
-        .agg(F.to_json(F.map_from_entries(entries)).alias("value"))
-        .select("value")
+    made = df.groupBy(F.pmod(F.xxhash64(key), F.lit(objects)).cast("bigint").alias("_p")).agg(
+        F.to_json(F.map_from_entries(entries)).alias("value")
     )
+    numbers = df.sparkSession.range(objects).withColumnRenamed("id", "_p")
+    return numbers.join(made, "_p", "left").select(F.coalesce("value", F.lit("{}")).alias("value"))
 
 
-def write_json_map(df: DataFrame, key: str, value: str, path: str) -> None:
-    json_objects(df, key, value).write.mode("overwrite").text(path)
+def write_json_map(df: DataFrame, key: str, value: str, path: str, objects: int = 1) -> None:
+    json_objects(df, key, value, objects).write.mode("overwrite").text(path)
 
 
 def read_json_map(spark: SparkSession, path: str, value_type: str = "bigint") -> DataFrame:

@@ -6,10 +6,10 @@ import pytest
 from compare import connect, difference
 from conftest import SMALL
 
-entry = importlib.import_module("__spark_entry__")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
-# Learned models and random samples have no SQL form.
-NO_SQL = {"uniform_sample", "cross_auc", "cvr_model", "bid_model", "score_requests_learned"}
+catalog = importlib.import_module("bidlift.plans.catalog")
+QUERIES, ORACLE = catalog.QUERIES, importlib.import_module("bidlift.plans.oracle").ORACLE
+# Learned models have no SQL form; the corpus queries are tested beside their operators.
+NO_SQL = {"cross_auc", "cvr_model", "bid_model", "score_requests_learned"}
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +18,8 @@ def duck():
 
 
 def test_every_query_is_checked_or_listed():
+    entry = importlib.import_module("__spark_entry__")
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     assert set(QUERIES) - set(ORACLE) == NO_SQL
     assert set(ORACLE) <= set(QUERIES)
 
@@ -30,3 +32,11 @@ def test_query_equals_sql(spark, duck, name):
 def test_uniform_sample_keeps_about_the_share(spark):
     got = QUERIES["uniform_sample"](spark, SMALL).count()
     assert 2000 < got < 2800
+
+
+def test_discount_rows_are_sampled_here(spark):
+    from bidlift.operators import sampling
+
+    training = catalog._training(spark, SMALL, "adid")
+    fractions = sampling.sample_fractions(training, catalog.DISCOUNT_LIMIT, catalog.DISCOUNT_CAP)
+    assert fractions.where("fraction < 1").count() > 0

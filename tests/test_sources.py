@@ -62,9 +62,10 @@ def test_state_roundtrip_is_one_file(spark):
 def test_json_map_splits_when_large(spark):
     ids = spark.createDataFrame([(i, i * 10) for i in range(100)], "axid bigint, adid bigint")
     assert text.json_objects(ids, "axid", "adid").count() == 1
-    assert text.json_objects(ids, "axid", "adid", per_object=30).count() == 4
+    assert text.json_objects(ids, "axid", "adid", objects=4).count() == 4
+    assert [r.value for r in text.json_objects(ids.limit(0), "axid", "adid").collect()] == ["{}"]
     path = fresh_path(spark, "ids")
-    text.json_objects(ids, "axid", "adid", per_object=30).write.text(path)
+    text.json_objects(ids, "axid", "adid", objects=4).write.text(path)
     assert {r.id: r.value for r in text.read_json_map(spark, path).collect()} == {i: i * 10 for i in range(100)}
 
 

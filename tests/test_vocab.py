@@ -92,7 +92,7 @@ def test_indices_are_dense_and_offsets_add_up(spark):
 
 def test_values_with_the_separator_stay_whole(spark):
     training = _training(spark)
-    dictionary = materialize(vocab.feature_dict(vocab.top_tokens(vocab.token_weights(training))))
+    dictionary = materialize(vocab.feature_dict(vocab.top_tokens(vocab.token_weights(training), vocab.VOCABULARY)))
     assert dictionary.where("value = 't_:_4'").count() == 2
     enc = materialize(vocab.encode_rows(training, dictionary, ["row_key"]))
     decoded = vocab.decode_features(enc, dictionary, ["row_key"])
@@ -103,7 +103,7 @@ def test_values_with_the_separator_stay_whole(spark):
 
 def test_rows_without_known_features_stay(spark):
     training = _training(spark)
-    dictionary = vocab.feature_dict(vocab.top_tokens(vocab.token_weights(training))).where("ad_id = 100001")
+    dictionary = vocab.feature_dict(vocab.top_tokens(vocab.token_weights(training), vocab.VOCABULARY)).where("ad_id = 100001")
     enc = vocab.encode_rows(training, materialize(dictionary), ["row_key"])
     assert enc.count() == training.count()
     assert enc.where("ad_id = 100002 and size(idx) > 0").count() == 0
@@ -133,7 +133,7 @@ def test_lookup_gives_the_same_however_the_table_is_joined(spark):
 
 def test_cross_exclude_leaves_fields_out_of_pairs_only(spark):
     training = _training(spark)
-    dictionary = materialize(vocab.feature_dict(vocab.top_tokens(vocab.token_weights(training))))
+    dictionary = materialize(vocab.feature_dict(vocab.top_tokens(vocab.token_weights(training), vocab.VOCABULARY)))
     enc = vocab.encode_rows(training, dictionary, ["row_key"], cross_exclude=("product",))
     products = {
         ad: {r.global_idx for r in dictionary.where((F.col("ad_id") == ad) & (F.col("field") == "product")).collect()}
