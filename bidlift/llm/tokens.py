@@ -15,6 +15,7 @@ from itertools import chain, repeat
 import numpy as np
 
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+MARK = "\x02"
 MOST_WORDS = 200_000
 CHARACTERS = 1_000_000
 AT_ONCE = 4096  # words encoded in one call: an encoding holds far more than its ids
@@ -25,7 +26,8 @@ class WordEncoder:
     """Gives the ids that the tokenizer gives for whole texts.
 
     ``lead`` is what a word after a space starts with: the space for byte-level
-    vocabularies, nothing for those that drop white space.
+    vocabularies, nothing for those that drop white space. A text's first word
+    is remembered apart, under a space and itself.
     """
 
     def __init__(self, path: str, lead: str):
@@ -36,45 +38,86 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.lead = lead
+        self.mark = self.tokenizer.encode(" " + MARK, add_special_tokens=False).ids
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.loose = np.zeros(1 << 16, bool)  # cut at a space beside white space, which is no safe place
         self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
 
-    def _learn(self, words: list[str]) -> None:
+    def _one_by_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found: list[list[int]] = []
         for k in range(0, len(words), AT_ONCE):
-            found += [e.ids for e in self.tokenizer.encode_batch(words[k : k + AT_ONCE], add_special_tokens=False)]
+            part = [w[1:] if w[:1] == " " else self.lead + w for w in words[k : k + AT_ONCE]]
+            found += [e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size
+
+    def _in_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Words in one text, each followed by a mark, whose ids are then taken out."""
+        text = "".join([f"{self.lead or ' '}{w} {MARK}" for w in words])
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        marks = np.flatnonzero(ids == self.mark[-1])
+        if len(marks) != len(words):
+            return None
+        ends = marks - (len(self.mark) - 1)
+        starts = np.concatenate([[0], marks[:-1] + 1])
+        inside = np.ones(len(ids), bool)
+        for k in range(len(self.mark)):
+            inside[marks - k] = False
+        return ids[inside], ends - starts
+
+    def _learn(self, words: list[str]) -> None:
+        plain, other = [], []
+        for w in words:
+            (plain if w.isprintable() and w and " " not in w else other).append(w)
+        parts = []
+        for k in range(0, len(plain), AT_ONCE):
+            some = plain[k : k + AT_ONCE]
+            parts.append(self._in_one(some) or self._one_by_one(some))
+        if other:
+            parts.append(self._one_by_one(other))
+        words = plain + other
+        size = np.concatenate([p[1] for p in parts])
         first, total = len(self.known), int(size.sum())
         while first + len(words) > len(self.start):
-            self.start, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size))
+            self.start, self.size, self.loose = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.size, self.loose))
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.ids[self.used : self.used + total] = np.concatenate([p[0] for p in parts])
         self.start[first : first + len(words)] = self.used + np.cumsum(size) - size
         self.size[first : first + len(words)] = size
         self.used += total
+        for k, w in enumerate(other, first + len(plain)):
+            bare = w[1:] if w[:1] == " " else w
+            self.loose[k] = not bare or bare[0].isspace() or bare[-1].isspace()
         self.known.update(zip(words, range(first, first + len(words))))
 
+    def _look_up(self, words: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            absent = [words[i] for i in missing]
+            self._learn(list(dict.fromkeys(absent)))
+            at[missing] = list(map(self.known.__getitem__, absent))
+        return at
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and the number of ids of each."""
         if len(self.known) > MOST_WORDS:
             self.forget()
-        words, counts = [], np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            cut = SAFE_SPACE.split(text) if text else []
-            counts[i] = len(cut)
-            if self.lead and cut:
-                cut = [cut[0], *map(self.lead.__add__, cut[1:])]
-            words += cut
-        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            self._learn(list(dict.fromkeys(words[i] for i in missing)))
-            at[missing] = [self.known[words[i]] for i in missing]
+        cuts = [text.split(" ") if text else [] for text in texts]
+        at = self._look_up(self._words(cuts))
+        counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        if self.loose[at].any():
+            loose = np.concatenate([[0], np.cumsum(self.loose[at])])
+            ends = np.cumsum(counts)
+            for i in np.flatnonzero(loose[ends] > loose[ends - counts]):
+                cuts[i] = SAFE_SPACE.split(texts[i])
+            counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
+            at = self._look_up(self._words(cuts))
         size = self.size[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
@@ -83,6 +126,15 @@ class WordEncoder:
         run = np.concatenate([[0], ends])
         return ids, run[edges[1:]] - run[edges[:-1]]
 
+    @staticmethod
+    def _words(cuts: list[list[str]]) -> list[str]:
+        words: list[str] = []
+        for cut in cuts:
+            if cut:
+                words.append(" " + cut[0])
+                words += cut[1:]
+        return words
+
 
 _ENCODERS: dict[tuple[str, str], WordEncoder] = {}
 
