@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import arrow_rows, materialize, unwrapped, whole_text, wrapped
 
@@ -202,15 +203,20 @@ def requests(shared: DataFrame, percent: int) -> DataFrame:
     most = F.max(F.struct("listed", F.col("token").alias("t")))
     own = shared.groupBy("cid").agg(most.alias("m"), F.first("n").alias("n"))
     chunks = F.ceil(F.col("m.listed") / MEMBERS)
-    own = materialize(own.select("cid", F.col("m.t").alias("gt"), F.pmod(F.xxhash64("cid"), chunks).alias("gc")), "own")
-    placed = materialize(shared.join(own, "cid"), "placed")
+    own = materialize(own.select("cid", "n", F.col("m.t").alias("gt"), F.pmod(F.xxhash64("cid"), chunks).alias("gc")), "own")
+    placed = materialize(shared.join(own.drop("n"), "cid"), "placed")
     matrix = placed.groupBy("token", "gt", "gc").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     asks = placed.select("token", "cid", "n", F.col("gt").alias("ot"), F.col("gc").alias("oc")).join(matrix, "token")
     near = (100 * F.col("high") >= percent * F.col("n")) & (percent * F.col("low") <= 100 * F.col("n"))
     other = (F.col("gt") != F.col("ot")) | (F.col("gc") != F.col("oc"))
     asks = materialize(asks.where(near & other).select("cid", "gt", "gc").distinct(), "asks")
     blocks = asks.groupBy("gt", "gc").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("blocks"))
-    members = own.join(blocks, ["gt", "gc"], "left").select(
+    # A member without a query to its group, whose nearest sizes in the group are out of reach, can link with nothing there.
+    by_size = Window.partitionBy("gt", "gc").orderBy("n", "cid")
+    below, above = F.lag("n").over(by_size), F.lead("n").over(by_size)
+    reach = (100 * below >= percent * F.col("n")) | (100 * F.col("n") >= percent * above)
+    paired = own.withColumn("paired", F.coalesce(reach, F.lit(False)))
+    members = paired.join(blocks, ["gt", "gc"], "left").where(F.col("paired") | F.col("blocks").isNotNull()).select(
         "cid", "gt", "gc", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("blocks", F.lit(1).cast("bigint")) - 1)).alias("block"), F.lit(0).alias("role")
     )
     queries = asks.join(blocks, ["gt", "gc"]).select("cid", "gt", "gc", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block"), F.lit(1).alias("role"))
@@ -317,7 +323,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     shared = materialize(shared_tokens(prefixes(rows, seen, words, percent, buckets)), "shared")
     asked = materialize(requests(shared, percent), "asked")
     classes = materialize(known.groupBy("cid").agg(F.min("doc_id").alias("least"), F.min("rk").alias("rk")), "classes")
-    active = shared.select("cid").distinct()
+    active = asked.select("cid").distinct()
     sets = class_sets(rows, classes.join(active, "cid", "left_semi"), words).dropDuplicates(["cid"])
     links = materialize(open_groups(asked.join(sets.hint("merge"), "cid"), percent), "links")
     seen.unpersist()
