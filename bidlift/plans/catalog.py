@@ -643,6 +643,31 @@ def cross_auc(spark, sf):
     return training.cross_auc(folded, _model_widths(dictionary)).withColumn("test_auc", F.round("test_auc", 6))
 
 
+def _given_scores(spark, sf) -> DataFrame:
+    """Every session of a campaign with a score, a fold and a weight that follow from its number."""
+    log = add_click_active(B.session_core(spark, sf)).withColumn("ad_id", F.col("ad.adid"))
+    return log.select(
+        "ad_id", "click_active", (F.col("row_seq") * 31 % 97 / F.lit(97.0)).alias("score"), (F.col("row_seq") % 2).alias("fold"),
+        (F.col("row_seq") % 3 + 1).alias("weight"),
+    )
+
+
+def cross_auc_given(spark, sf):
+    """Two-fold AUC of given scores."""
+    return metrics.cross_auc(_given_scores(spark, sf)).withColumn("test_auc", F.round("test_auc", 6))
+
+
+def calibration_holds(spark, sf):
+    """Weighted predictions times the discount, against the click-actives it was made for."""
+    scored = materialize(_given_scores(spark, sf).withColumnRenamed("score", "p"), "scored")
+    actives = scored.groupBy("ad_id").agg(F.count_if(F.col("click_active") == 1).alias("click_actives"))
+    discounts = calibrate.discount(scored, actives, sampling.no_sample(scored))
+    total = scored.groupBy("ad_id").agg(F.sum(F.col("weight") * F.col("p")).alias("total"))
+    return discounts.join(total, "ad_id").join(actives, "ad_id").select(
+        "ad_id", F.round(F.col("total") * F.col("discount"), 6).alias("expected"), "click_actives"
+    )
+
+
 def cvr_model(spark, sf):
     """Train every eligible campaign and give its record."""
     encoded, dictionary = _encoded(spark, sf, "adid")
@@ -878,6 +903,8 @@ QUERIES: dict[str, Query] = {
     "score_requests": score_requests,
     "score_saved_models": score_saved_models,
     "cross_auc": cross_auc,
+    "cross_auc_given": cross_auc_given,
+    "calibration_holds": calibration_holds,
     "cvr_model": cvr_model,
     "bid_model": bid_model,
     "score_requests_learned": score_requests_learned,

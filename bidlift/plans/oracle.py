@@ -494,6 +494,17 @@ FROM derived GROUP BY 1""",
   CAST(sum(CAST(bidprice AS DECIMAL(18,6))) AS DOUBLE) / count(bidprice) AS bid_average, count(*) AS num
 FROM derived GROUP BY 1)
 SELECT v.ad_id, round(bid_average / nullif(click_actives, 0) * num, 4) AS bid_constant FROM avgs v LEFT JOIN ads USING (ad_id)""",
+    "cross_auc_given": f"""WITH {_CORE},
+given AS (SELECT adid AS ad_id, row_seq % 2 AS fold, coalesce(click_active, 0) AS y, row_seq * 31 % 97 AS s FROM core),
+ordered AS (SELECT ad_id, fold, y, rank() OVER w + (count(*) OVER (PARTITION BY ad_id, fold, s) - 1) / 2.0::DOUBLE AS r
+  FROM given WINDOW w AS (PARTITION BY ad_id, fold ORDER BY s)),
+agg AS (SELECT ad_id, fold, sum(CASE WHEN y = 1 THEN r END) AS rs, CAST(sum(y) AS DOUBLE) AS np, CAST(count(*) - sum(y) AS DOUBLE) AS nn
+  FROM ordered GROUP BY 1, 2),
+halves AS (SELECT ad_id, CASE WHEN np > 0 AND nn > 0 THEN (rs - np * (np + 1) / 2) / (np * nn) ELSE 0.5 END AS auc FROM agg)
+SELECT ad_id, round(sum(auc) / 2 + (2 - count(*)) * 0.25, 6) AS test_auc FROM halves GROUP BY 1""",
+    "calibration_holds": f"""WITH {_CORE} SELECT adid AS ad_id,
+  CAST(count(*) FILTER (WHERE click_active = 1) AS DOUBLE) AS expected, count(*) FILTER (WHERE click_active = 1) AS click_actives
+FROM core GROUP BY 1""",
     "route_model": f"""WITH {_CORE}, {_META}, {_IDMAP}, {_ROUTES} SELECT row_key, axid, use_model FROM core JOIN routes USING (axid)""",
     "route_model_by_auc": f"""WITH {_CORE}, {_META}, {_IDMAP}, own AS (SELECT ad_id, test_auc FROM meta WHERE level = 'axid'),
 best AS (SELECT adid, ad_id FROM own JOIN idmap ON axid = ad_id
