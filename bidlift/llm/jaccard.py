@@ -2,15 +2,16 @@
 
 A document is the set of its distinct word shingles (64-bit hashes); equal sets
 are one class. Shingles are ordered by how often a fixed-size table of counters
-saw them, rarest first, so that two sets of the least similarity share one of
-their first ``n - ceil(s * n) + 1`` shingles, their prefix. Only classes that
-share a prefix shingle with another go on.
+saw them, rarest first. The prefix of a set of ``n`` is its first ``n - ceil(s * n) + l(n)``
+shingles; two similar sets share as many of their prefixes' shingles as the
+smaller ``l``, here a tenth of a set at 0.9. Only classes that share so many of
+their prefix with others go on.
 
 Similar classes form a group: each takes the prefix shingle that most classes
 share, and such a list is cut into groups of about ``MEMBERS``. The matrix holds
 each group's union of prefix shingles with the range of set sizes behind each.
-A class queries every group that holds one of its prefix shingles within the
-sizes that could be similar, and its own. A task then gets one group: it builds
+A class queries every group of whose union, within the sizes that could be
+similar, its prefix holds enough shingles, its own group among them. A task then gets one group: it builds
 the union of the members' whole sets, bounds a query's overlap with the union,
 and only if that reaches the least overlap opens the group, that is counts the
 overlap with each member. A group with many queries is cut into blocks. A task
@@ -32,7 +33,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import arrow_rows, materialize, unwrapped, whole_text, wrapped
 
@@ -74,6 +74,19 @@ def least_overlap(n, percent: int):
     return -(-percent * n // 100)
 
 
+def prefix_length(n: int, percent: int) -> int:
+    """n - a + l: sets that share a or more shingles share l or more of so many first ones."""
+    alpha = least_overlap(n, percent)
+    return n - alpha + min(n - alpha + 1, alpha)
+
+
+def needed(n: Column, percent: int) -> Column:
+    """Shared prefix shingles that a set of n needs: l of the smallest set it could be similar to."""
+    smallest = -F.floor(-(percent * n) / 100)
+    alpha = -F.floor(-(percent * smallest) / 100)
+    return F.least(smallest - alpha + 1, alpha)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         yield batch, [shingles(t or "", words) for t in batch.column("text").to_pylist()]
@@ -137,7 +150,7 @@ def prefixes(docs: DataFrame, seen, words: int, percent: int, buckets: int) -> D
                 if len(s) and cid not in classes:
                     classes[cid] = len(classes)
                     order = np.lexsort((s, count[(s & U(SLOTS - 1)).astype(np.int64)]))
-                    first = s[order[: len(s) - least_overlap(len(s), percent) + 1]]
+                    first = s[order[: prefix_length(len(s), percent)]]
                     tokens.append(first)
                     owner.append(np.full(len(first), classes[cid], np.int64))
                     sizes.append(len(s))
@@ -201,22 +214,25 @@ def shared_tokens(packed: DataFrame) -> DataFrame:
 def requests(shared: DataFrame, percent: int) -> DataFrame:
     """(cid, gt, gc, block, role): members (role 0) and queries (role 1) of every group, from the written table ``shared``."""
     most = F.max(F.struct("listed", F.col("token").alias("t")))
-    own = shared.groupBy("cid").agg(most.alias("m"), F.first("n").alias("n"))
+    own = shared.groupBy("cid").agg(most.alias("m"), F.first("n").alias("n"), F.count(F.lit(1)).alias("held"))
     chunks = F.ceil(F.col("m.listed") / MEMBERS)
-    own = materialize(own.select("cid", "n", F.col("m.t").alias("gt"), F.pmod(F.xxhash64("cid"), chunks).alias("gc")), "own")
-    placed = materialize(shared.join(own.drop("n"), "cid"), "placed")
-    matrix = placed.groupBy("token", "gt", "gc").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    asks = placed.select("token", "cid", "n", F.col("gt").alias("ot"), F.col("gc").alias("oc")).join(matrix, "token")
+    own = own.where(F.col("held") >= needed(F.col("n"), percent))
+    own = materialize(own.select("cid", F.col("m.t").alias("gt"), F.pmod(F.xxhash64("cid"), chunks).alias("gc")), "own")
+    placed = materialize(shared.drop("listed").join(own.hint("merge"), "cid"), "placed")
+    matrix = placed.groupBy("token", "gt", "gc").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("members"))
+    rows = placed.select("token", "cid", "n", F.col("gt").alias("ot"), F.col("gc").alias("oc")).join(matrix, "token")
     near = (100 * F.col("high") >= percent * F.col("n")) & (percent * F.col("low") <= 100 * F.col("n"))
-    other = (F.col("gt") != F.col("ot")) | (F.col("gc") != F.col("oc"))
-    asks = materialize(asks.where(near & other).select("cid", "gt", "gc").distinct(), "asks")
+    mine = (F.col("gt") == F.col("ot")) & (F.col("gc") == F.col("oc"))
+    # A class's own shingles are in its own group's union; there another member must have them too.
+    bound = rows.where(near & (~mine | (F.col("members") > 1))).groupBy("cid", "gt", "gc").agg(
+        F.count(F.lit(1)).alias("met"), F.first("n").alias("n"), F.first(mine).alias("mine")
+    )
+    bound = materialize(bound.where(F.col("met") >= needed(F.col("n"), percent)).select("cid", "gt", "gc", "mine"), "bound")
+    asks = bound.where(~F.col("mine"))
     blocks = asks.groupBy("gt", "gc").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("blocks"))
-    # A member without a query to its group, whose nearest sizes in the group are out of reach, can link with nothing there.
-    by_size = Window.partitionBy("gt", "gc").orderBy("n", "cid")
-    below, above = F.lag("n").over(by_size), F.lead("n").over(by_size)
-    reach = (100 * below >= percent * F.col("n")) | (100 * F.col("n") >= percent * above)
-    paired = own.withColumn("paired", F.coalesce(reach, F.lit(False)))
-    members = paired.join(blocks, ["gt", "gc"], "left").where(F.col("paired") | F.col("blocks").isNotNull()).select(
+    # A group that others query needs all members; else those that may link within it.
+    paired = own.join(bound.where("mine").select("cid", "mine"), "cid", "left").join(blocks, ["gt", "gc"], "left")
+    members = paired.where(F.col("mine").isNotNull() | F.col("blocks").isNotNull()).select(
         "cid", "gt", "gc", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("blocks", F.lit(1).cast("bigint")) - 1)).alias("block"), F.lit(0).alias("role")
     )
     queries = asks.join(blocks, ["gt", "gc"]).select("cid", "gt", "gc", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block"), F.lit(1).alias("role"))
