@@ -1,11 +1,14 @@
 """Substring deduplication by sliding sentence spans.
 
 A text is cut into sentences at line ends and after ``.``, ``!`` or ``?``
-before white space. From every sentence the shortest run of at least two
-sentences and ``words`` words is hashed (a sentence of twice as many words is a
-run by itself), white space squeezed. Runs are joined globally by their 128-bit
-hash: the first by (id, digest of the text, position) stays, and every sentence
-that another covers is removed, copies within one document included.
+before white space. The shortest runs of at least two sentences and ``words``
+words (a sentence of twice as many words is a run by itself) that start and
+that end at every sentence are hashed, white space squeezed. Together they
+cover each longer run: where the rest of a run from one of its sentences is too
+short, the shortest run that ends with it holds that sentence. Runs are joined
+globally by their 128-bit hash: the first by (id, digest of the text, position)
+stays, and every sentence that another covers is removed, copies within one
+document included.
 
 Defined results: a NULL text has no sentence and stays NULL. Rows of equal id
 and text are one document and get the same result each. NULL ids come first.
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from struct import unpack
 
 import pyarrow as pa
 import xxhash
@@ -28,6 +32,7 @@ from .common import arrow_rows, materialize, whole_text, wrapped
 
 SENTENCE = re.compile(r"\S.*?(?:(?<=[.!?])(?=\s)|(?=\n)|\Z)\s*", re.S)
 LEAST_SENTENCES, LEAST_WORDS = 2, 20
+LOW = (1 << 32) - 1
 
 
 def sentences(text: str) -> list[str]:
@@ -49,12 +54,23 @@ def runs(found: list[str], least: int, words: int) -> Iterator[tuple[int, int]]:
         held -= sizes[i]
 
 
+def covering(found: list[str], least: int, words: int) -> list[tuple[int, int]]:
+    """(first, last) of the shortest runs that start and that end at each sentence, each once."""
+    end = len(found) - 1
+    ending = {(end - b, end - a) for a, b in runs(found[::-1], least, words)}
+    return sorted(ending.union(runs(found, least, words)))
+
+
 def _enough(count: int, held: int, least: int, words: int) -> bool:
     return held >= words and (count >= least or held >= 2 * words)
 
 
 def spans(docs: DataFrame, least: int = LEAST_SENTENCES, words: int = LEAST_WORDS) -> DataFrame:
-    """(doc_id, key, first, last, hash) of every run of ``docs`` (doc_id, key, text)."""
+    """(doc_id, key, run, high, low) of every run of ``docs`` (doc_id, key, text).
+
+    All runs are shuffled, so a record is five numbers:
+    ``run`` holds the first sentence above the last, ``high`` and ``low`` the hash.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,30 +79,27 @@ def spans(docs: DataFrame, least: int = LEAST_SENTENCES, words: int = LEAST_WORD
             for id, key, text in zip(ids, keys, batch.column("text").to_pylist()):
                 found = sentences(text or "")
                 plain = [" ".join(s.split()) for s in found]
-                for a, b in runs(found, least, words):
-                    digest = xxhash.xxh3_128_digest("\n".join(plain[a : b + 1]))
-                    for column, value in zip(out, (id, key, a, b, digest)):
+                for a, b in covering(found, least, words):
+                    high, low = unpack(">qq", xxhash.xxh3_128_digest("\n".join(plain[a : b + 1])))
+                    for column, value in zip(out, (id, key, a << 32 | b, high, low)):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(out, kinds)], ["doc_id", "key", "first", "last", "hash"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in out], ["doc_id", "key", "run", "high", "low"])
 
-    return docs.mapInArrow(make, "doc_id bigint, key bigint, first int, last int, hash binary")
+    return docs.mapInArrow(make, "doc_id bigint, key bigint, run bigint, high bigint, low bigint")
 
 
 def removals(found: DataFrame) -> DataFrame:
-    """(doc_id, key, cut): for each document that loses sentences, the runs (first, last) that are not the first of their kind."""
-    place = F.struct("doc_id", "key", "first")
+    """(doc_id, key, cut): for each document that loses sentences, the runs that are not the first of their kind."""
+    place = F.struct("doc_id", "key", "run")
     repeated = (
-        found.groupBy("hash")
+        found.groupBy("high", "low")
         .agg(F.min(place).alias("earliest"), F.max(place).alias("latest"))
         .where("earliest <> latest")
-        .select("hash", "earliest")
+        .select("high", "low", "earliest")
     )
     # Always by a shuffle: the number of repeated runs grows with the documents. A hot run is split by adaptive execution.
-    later = found.join(repeated.hint("merge"), "hash").where(place != F.col("earliest"))
-    return later.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(F.struct("first", "last"))).alias("cut"))
+    later = found.join(repeated.hint("merge"), ["high", "low"]).where(place != F.col("earliest"))
+    return later.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set("run")).alias("cut"))
 
 
 def dedup_sentences(docs: DataFrame, least: int = LEAST_SENTENCES, words: int = LEAST_WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -106,7 +119,7 @@ def dedup_sentences(docs: DataFrame, least: int = LEAST_SENTENCES, words: int =
             out = []
             for text, cuts in zip(batch.column("text").to_pylist(), batch.column("_cut").to_pylist()):
                 found = sentences(text or "")
-                gone = {k for c in cuts or () for k in range(c["first"], c["last"] + 1)}
+                gone = {k for c in cuts or () for k in range(c >> 32, (c & LOW) + 1)}
                 kept = "".join(s for k, s in enumerate(found) if k not in gone) if gone else text
                 out.append({
                     "text": kept, "n_sentences": len(found), "n_removed": len(gone),

@@ -295,6 +295,36 @@ def test_runs_are_minimal():
     assert "".join(sentences.sentences("x. y\n z?? q")) == "x. y\n z?? q"
 
 
+def test_sentence_tails_go_too(spark):
+    def passage(name, *sizes):
+        return "".join(" ".join([f"{name}{k}x{i}" for i in range(n - 1)] + ["end. "]) for k, n in enumerate(sizes))
+
+    texts = []
+    for k, sizes in enumerate([(45, 38), (38, 45), (12, 12, 12, 12, 7), (45, 3), (10, 11, 1, 1)]):
+        shared = passage(f"p{k}", *sizes)
+        texts += [(10 * k, shared + f"Here it goes on {k}."), (10 * k + 1, f"Another start {k}. " + shared + f"Then it ends {k}."), (10 * k + 2, shared)]
+    got = {r.doc_id: r for r in sentences.deduped(documents(spark, texts, clash=False)).collect()}
+    for k in range(5):
+        assert not got[10 * k].changed
+        assert got[10 * k + 1].text == f"Another start {k}. Then it ends {k}."
+        assert got[10 * k + 2].text == ""
+
+
+def test_covering_runs_equal_all_runs():
+    import random
+
+    rng = random.Random(7)
+    for _ in range(300):
+        found = ["w " * rng.choice([1, 3, 7, 12, 19, 20, 38, 39, 40, 45]) for _ in range(rng.randint(0, 9))]
+        size = [len(s.split()) for s in found]
+        short = sentences.covering(found, 2, 20)
+        for a in range(len(found)):
+            for b in range(a + 1, len(found)):
+                if sum(size[a : b + 1]) >= 20:
+                    inside = {k for x, y in short if a <= x and y <= b for k in range(x, y + 1)}
+                    assert inside == set(range(a, b + 1))
+
+
 # quality
 
 
