@@ -27,16 +27,18 @@ class WordEncoder:
 
     ``lead`` is what a word after a space starts with: the space for byte-level
     vocabularies, nothing for those that drop white space. A text's first word
-    is remembered apart, under a space and itself.
+    is remembered apart, under a space and itself. ``plain`` takes the strings
+    of special tokens in a text as ordinary text; else they get the special ids,
+    as the library gives them. They hold no white space, so no cut parts them.
     """
 
-    def __init__(self, path: str, lead: str):
+    def __init__(self, path: str, lead: str, plain: bool = False):
         # Workers already run side by side; threads of each would only add memory and contention.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain
         self.lead = lead
         self.mark = self.tokenizer.encode(" " + MARK, add_special_tokens=False).ids
         self.forget()
@@ -136,14 +138,14 @@ class WordEncoder:
         return words
 
 
-_ENCODERS: dict[tuple[str, str], WordEncoder] = {}
+_ENCODERS: dict[tuple[str, str, bool], WordEncoder] = {}
 
 
-def encoder(path: str, lead: str) -> WordEncoder:
-    """One encoder per worker process and tokenizer."""
-    if (path, lead) not in _ENCODERS:
-        _ENCODERS[path, lead] = WordEncoder(path, lead)
-    return _ENCODERS[path, lead]
+def encoder(path: str, lead: str, plain: bool = False) -> WordEncoder:
+    """One encoder per worker process, tokenizer and treatment of special tokens."""
+    if (path, lead, plain) not in _ENCODERS:
+        _ENCODERS[path, lead, plain] = WordEncoder(path, lead, plain)
+    return _ENCODERS[path, lead, plain]
 
 
 def groups(texts: list[str | None]):

@@ -118,6 +118,36 @@ def test_packing_places_every_piece(docs):
     assert check_places(rows, 1024) <= -(-total // 1024) + 1
 
 
+SPECIAL = [
+    "a <|endoftext|> b", "<|endoftext|>", "in<|endoftext|>side, <|startoftext|>", "two  <|endoftext|>  three\n<|endoftext|>\tx", "<|endoftext|><|endoftext|> y",
+    "<|startoftext|> <|ENDOFTEXT|> A<|startoftext|>B", "cut <|endof text|> <| endoftext|> <|endoftext|", "é<|endoftext|>漢 'll<|endoftext|>'ll <|endoftext|>'ll",
+]
+
+
+@pytest.mark.parametrize("name,lead", [("byte_bpe_50k.json", " "), ("word_bpe_49k.json", "")])
+@pytest.mark.parametrize("plain", [False, True])
+def test_special_strings_are_encoded_as_the_library_does(name, lead, plain):
+    from bidlift.llm.tokens import WordEncoder
+
+    texts = SPECIAL + [" ".join(SPECIAL)] + [t or "" for _, t in TEXTS]
+    enc = Tokenizer.from_file(public_tokenizers.path(name))
+    enc.encode_special_tokens = plain
+    want = [enc.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, sizes = WordEncoder(public_tokenizers.path(name), lead, plain).encode(texts)
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
+def test_special_strings_in_packing_and_token_files(spark):
+    docs = documents(spark, list(enumerate(SPECIAL)))
+    for name, end, rows in (
+        ("byte_bpe_50k.json", 2, packing.pack_documents(docs).withColumnRenamed("length", "n_tokens")),
+        ("word_bpe_49k.json", 1, tokenfile.round_trip(docs)),
+    ):
+        enc = Tokenizer.from_file(public_tokenizers.path(name))
+        want = [enc.encode(t, add_special_tokens=False).ids + [end] for t in SPECIAL]
+        assert ordered(rows.select("doc_id", "n_tokens", "ids_crc32").collect()) == ordered((i, len(w), crc(w)) for i, w in enumerate(want))
+
+
 def test_packing_is_near_the_bound(spark):
     rows = packing.pack_documents(small(spark)).collect()
     assert check_places(rows, 1024) <= 1.02 * sum(r.length for r in rows) / 1024 + 1
