@@ -27,7 +27,6 @@ from ..operators import (
     smoothing,
     vocab,
 )
-from ..operators.boosting import BoostParams
 from ..schemas import BID_PATHS, FEATURE_FIELDS, MULTI_FIELDS
 from ..session import fresh_path, materialize
 from ..sources import logs, tables, text
@@ -628,9 +627,6 @@ def score_requests(spark, sf):
 
 # -- learned models -----------------------------------------------------------
 
-# The price query grows fewer trees than the operator's 100: its loop is one job per tree level.
-PRICE_TREES = 10
-
 
 def _model_widths(dictionary: DataFrame) -> DataFrame:
     return materialize(dictionary.groupBy("ad_id").agg(F.count(F.lit(1)).alias("width")), "widths")
@@ -687,11 +683,10 @@ def bid_model(spark, sf):
     """Train the global price model and give the mean predicted bid of every eligible creative."""
     bids = materialize(_bid_rows(spark, sf), "bids")
     dictionary = materialize(vocab.global_dict(vocab.token_distinct(bids)), "dict")
-    params = BoostParams(trees=PRICE_TREES, base=0.5, loss="squared")
     encoded = materialize(vocab.encode_rows(bids, dictionary, ["row_key", "bidprice"], model=None), "encoded")
-    trees = models.fit_price(encoded, params)
+    trees = models.fit_price(encoded)
     ads = vocab.encode_rows(_training(spark, sf, "axid"), dictionary, ["row_key", "ad_id"], model=None)
-    return calibrate.bid_average(models.predict_price(trees, ads, params))
+    return calibrate.bid_average(models.predict_price(trees, ads))
 
 
 def score_requests_learned(spark, sf):

@@ -131,3 +131,19 @@ def test_price_model_learns(spark):
     trees = models.fit_price(materialize(rows), p)
     got = models.predict_price(trees, rows, p).select(F.avg(F.abs(F.col("pred_bid") - F.col("bidprice")))).first()[0]
     assert got < 0.5
+
+
+def test_price_query_grows_every_tree(spark, monkeypatch):
+    from conftest import SMALL
+
+    from bidlift.plans.catalog import QUERIES
+
+    asked = []
+
+    def fit(rows, keys, p):
+        asked.append((keys, p))
+        return spark.createDataFrame([(0, 0, 1, -1, 0.0)], "model int, tree int, node int, split int, value double")
+
+    monkeypatch.setattr(boosting, "fit", fit)
+    QUERIES["bid_model"](spark, SMALL)
+    assert asked == [(["model"], models.PRICE_PARAMS)] and models.PRICE_PARAMS.trees == 100
