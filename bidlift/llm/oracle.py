@@ -119,4 +119,66 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM b JOIN t USING (lang, source)
 """
 
-ORACLE = {"op1_secret_scan": _secrets_sql(), "op5_benchmark_decontamination": OP5, "op8_adaptive_quality": OP8}
+
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775808) AS doc, coalesce(text, '') AS text FROM documents),
+s AS (SELECT r, doc, string_split(text, chr(10)) AS lines FROM d),
+l AS (SELECT r, doc, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM s),
+k AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l
+), f AS (SELECT key, min(doc) AS least FROM k WHERE length(key) >= 10 GROUP BY key),
+m AS (SELECT r, i, line, coalesce(doc > least, false) AS dropped FROM k LEFT JOIN f USING (key)),
+o AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+         sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+  FROM m GROUP BY r
+)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, kept_sha256 FROM d JOIN o USING (r)
+"""
+
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, row_number() OVER () AS r,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), p AS (SELECT doc_id, lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM d),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+g AS (
+  SELECT doc_id, lang, words, w[i:i + words - 1] AS gram
+  FROM (SELECT doc_id, lang, w, words, unnest(range(1, len(w) - words + 2)) AS i
+        FROM p, (SELECT unnest([1, 2, 3, 4]) AS words) WHERE len(w) >= words)
+), f AS (
+  SELECT lang, words, gram, array_to_string(gram, ' ') AS phrase, count(*) AS f, min(doc_id) AS first_doc
+  FROM g GROUP BY lang, words, gram HAVING count(*) >= 30
+), cut AS (
+  SELECT lang, phrase, f AS a, first_doc, gram, k, gram[1:k] AS one, gram[k + 1:words] AS two
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM f WHERE words >= 2)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.first_doc, c.gram, c.k, x.f AS l, y.f AS r,
+         (CAST(2000000 AS HUGEINT) * c.a) // (CAST(x.f AS HUGEINT) + y.f) AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.gram = c.one JOIN f y ON y.lang = c.lang AND y.gram = c.two
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1
+), inner_ AS (
+  SELECT lang, gram[s:s + size - 1] AS gram, max(f) AS longer
+  FROM (SELECT lang, gram, words, f, size, unnest(range(1, words - size + 2)) AS s
+        FROM f, (SELECT unnest([2, 3]) AS size) WHERE size < words)
+  GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN inner_ i ON i.lang = b.lang AND i.gram = b.gram
+  WHERE i.longer IS NULL OR CAST(100 AS HUGEINT) * i.longer < CAST(80 AS HUGEINT) * b.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n,
+       CAST(score AS BIGINT) AS score, first_doc
+FROM ranked JOIN t USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE = {
+    "op1_secret_scan": _secrets_sql(), "op5_benchmark_decontamination": OP5, "op8_adaptive_quality": OP8,
+    "op12_line_bitmaps": OP12, "op13_phrase_fingerprints": OP13,
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, packing, quality, secrets, sentences, sharding, suffixes, tokenfile, urls
+from . import decontaminate, jaccard, lines, packing, phrases, quality, secrets, sentences, sharding, suffixes, tokenfile, urls, whitening
 from .common import table
 
 
@@ -54,8 +54,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op11_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduped(table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_secret_scan, op2_pattern_packing, op3_suffix_dedup, op4_label_propagation_shards, op5_benchmark_decontamination,
-    op6_token_file, op7_sentence_spans, op8_adaptive_quality, op9_url_rules, op10_jaccard_join,
+    op6_token_file, op7_sentence_spans, op8_adaptive_quality, op9_url_rules, op10_jaccard_join, op11_chebyshev_whitening,
+    op12_line_bitmaps, op13_phrase_fingerprints,
 )
 QUERIES = {f.__name__: f for f in _ALL}

@@ -20,7 +20,7 @@ from bidlift.llm.queries import QUERIES  # noqa: E402
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(ORACLE) <= set(entry.oracle_sql())
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -30,9 +30,8 @@ def test_query_equals_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_gives_a_row_for_every_input_row(spark, name):
-    table = "pages" if name.startswith("op9") else "documents"
+    table, key = {"op9_url_rules": ("pages", "page_id"), "op11_chebyshev_whitening": ("embeddings", "vec_id")}.get(name, ("documents", "doc_id"))
     rows = QUERIES[name](spark, SMALL)
-    key = rows.columns[0] if table == "pages" else "doc_id"
     assert rows.select(key).distinct().count() == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
 
 
