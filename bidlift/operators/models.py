@@ -4,21 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..session import fresh_path, materialize
-from . import boosting
+from . import boosting, linear
 from .boosting import BoostParams
-from .lookup import lookup_left
 
-# Widest pooled linear fit: its gradient is one dense array of this length.
-FIT_WIDTH = 4_000_000
 # Fixed value: inverse strength of the linear part's L1 penalty.
 INVERSE_L1 = 0.1
 
@@ -51,15 +45,18 @@ def to_vector(encoded: DataFrame, width: int, idx: str = "idx") -> DataFrame:
 class TreeLinear:
     """Boosted trees whose leaves, one-hot beside the features, feed an L1 logistic model.
 
-    ``trees`` is (ad_id, variant, tree, node, split, value), ``coefs`` is
-    (ad_id, variant, col, coef, uses), with columns 0 .. width - 1 for features,
-    then the leaves, then the constant. Both are written tables.
+    ``trees`` is (ad_id, variant, tree, node, split, value); ``coefs`` is
+    (ad_id, variant, cols, coefs, ...), the active columns of a model ascending
+    with their coefficients: 0 .. width - 1 for features, then the leaves, then
+    the constant. Both are written tables. ``average`` is the mean target of all
+    training rows, the prediction of rows that have no model.
     """
 
     trees: DataFrame
     coefs: DataFrame
     widths: DataFrame
     params: BoostParams = field(default_factory=BoostParams)
+    average: float = 0.5
 
 
 MODEL_KEYS = ["ad_id", "variant"]
@@ -75,17 +72,20 @@ def _columns(width: Column, params: BoostParams) -> Column:
     return F.concat("idx", leaf, F.array(constant))
 
 
-def _with_columns(rows: DataFrame, trees: DataFrame, widths: DataFrame, params: BoostParams) -> DataFrame:
-    """Adds ``cols``, the active columns under the row's (ad_id, variant)."""
-    shapes = boosting.nested(trees, MODEL_KEYS, params.depth).join(widths, "ad_id")
+def _with_columns(rows: DataFrame, shapes: DataFrame, params: BoostParams) -> DataFrame:
+    """Adds ``cols``, the active columns under the row's (ad_id, variant); NULL where there is no such model."""
     return (
-        rows.join(materialize(shapes, "shapes"), MODEL_KEYS)
+        rows.join(shapes, MODEL_KEYS, "left")
         .withColumn("leaves", boosting.leaves("trees", params.depth))
         .withColumn("cols", _columns(F.col("width"), params))
         .drop("trees", "leaves", "width")
     )
 
 
+def _shapes(trees: DataFrame, widths: DataFrame, params: BoostParams) -> DataFrame:
+    return boosting.nested(trees, MODEL_KEYS, params.depth).join(widths, "ad_id")
+
+
 def variant_rows(encoded: DataFrame, variants: tuple[int, ...] = (0, 1, FULL)) -> DataFrame:
     """Each row once per model it trains: its own fold's and the full one.
 
@@ -105,77 +105,27 @@ def variant_rows(encoded: DataFrame, variants: tuple[int, ...] = (0, 1, FULL)) -
 def fit_tree_linear(rows: DataFrame, widths: DataFrame, params: BoostParams = BoostParams()) -> TreeLinear:
     """Fit every (ad, variant) at once. ``rows``: a written table of ``variant_rows``.
 
-    The linear parts are fitted as one model over the columns of all ads side
-    by side: rows of an ad touch only its own columns, so the objective is the
-    sum of the ads' objectives and its minimum is each ad's own minimum. Ads
-    are put in groups of at most ``FIT_WIDTH`` columns, one fit per group.
+    The linear part of a model depends on its own rows alone.
     """
     trees = boosting.fit(rows, MODEL_KEYS, params)
-    with_columns = materialize(_with_columns(rows, trees, widths, params), "columns")
-    span = params.trees * 2 ** (params.depth + 1) + 1
-    # One row per model goes through these windows.
-    order = Window.orderBy(*MODEL_KEYS)
-    placed = (
-        trees.select(*MODEL_KEYS)
-        .distinct()
-        .join(widths, "ad_id")
-        .withColumn("size", F.col("width") + span)
-        .withColumn("end", F.sum("size").over(order))
-        .withColumn("block", F.floor((F.col("end") - 1) / FIT_WIDTH))
-    )
-    placed = materialize(
-        placed.withColumn(
-            "start", F.sum("size").over(Window.partitionBy("block").orderBy(*MODEL_KEYS)) - F.col("size")
-        ).select(*MODEL_KEYS, "block", "start", "size"),
-        "placed",
-    )
-    blocks = placed.groupBy("block").agg(F.sum("size").alias("size")).orderBy("block").collect()
-    parts = [
-        _fit_block(with_columns, placed.where(F.col("block") == b["block"]), int(b["size"])) for b in blocks
-    ]
-    coefs = materialize(boosting._union(parts), "coefs")
-    return TreeLinear(trees, coefs, widths, params)
-
-
-def _fit_block(with_columns: DataFrame, placed: DataFrame, size: int) -> DataFrame:
-    shifted = with_columns.join(placed, MODEL_KEYS).withColumn(
-        "at", F.transform("cols", lambda c: (c + F.col("start")).cast("int"))
-    )
-    vectors = to_vector(shifted.select(F.col("y").alias("label"), "weight", "at"), size, "at")
-    total = vectors.agg(F.sum("weight")).first()[0]
-    linear = LogisticRegression(
-        family="binomial",
-        weightCol="weight",
-        fitIntercept=False,
-        standardization=False,
-        elasticNetParam=1.0,
-        regParam=1.0 / (INVERSE_L1 * total),
-        maxIter=100,
-    )
-    model = linear.fit(vectors.select("label", "weight", "features"))
-    # The coefficients live on the driver anyway, at most FIT_WIDTH of them; the L1 penalty leaves few.
-    dense = model.coefficients.toArray()
-    spark = with_columns.sparkSession
-    nonzero = [(int(i), float(dense[i])) for i in dense.nonzero()[0]]
-    values = spark.createDataFrame(nonzero, "at bigint, coef double")
-    spans = F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)
-    cells = placed.select(*MODEL_KEYS, "start", F.explode(spans).alias("at"))
-    return cells.join(values, "at").select(
-        *MODEL_KEYS, (F.col("at") - F.col("start")).cast("int").alias("col"), "coef"
-    )
+    shapes = materialize(_shapes(trees, widths, params), "shapes")
+    with_columns = materialize(_with_columns(rows, shapes, params), "columns")
+    coefs = linear.fit(with_columns, MODEL_KEYS, "cols", 1 / INVERSE_L1)
+    average = rows.agg(F.sum(F.col("weight") * F.col("y")) / F.sum("weight")).first()[0]
+    return TreeLinear(trees, coefs, widths, params, 0.5 if average is None else float(average))
 
 
 def predict(model: TreeLinear, rows: DataFrame, carried: list[str]) -> DataFrame:
-    """Conversion probability ``p`` of rows (carried, ad_id, variant, idx), a written table."""
+    """Conversion probability ``p`` of rows (carried, ad_id, variant, idx).
+
+    One row a model meets the rows, and everything else happens within a row.
+    Rows without a model get ``model.average``.
+    """
     kept = list(dict.fromkeys([*carried, *MODEL_KEYS]))
-    active = materialize(
-        _with_columns(rows, model.trees, model.widths, model.params).select(*kept, F.explode("cols").alias("col")),
-        "active",
-    )
-    coefs = model.coefs.withColumn("uses", F.lit(1))
-    found = lookup_left(active, coefs, [*MODEL_KEYS, "col"], "uses")
-    total = F.coalesce(F.sum("coef"), F.lit(0.0))
-    return found.groupBy(*kept).agg(boosting.sigmoid(total).alias("p"))
+    shapes = _shapes(model.trees, model.widths, model.params)
+    packed = materialize(shapes.join(model.coefs.select(*MODEL_KEYS, F.col("cols").alias("_at"), F.col("coefs").alias("_by")), MODEL_KEYS), "packed")
+    z = linear.margin(F.col("cols"), F.col("_at"), F.col("_by"))
+    return _with_columns(rows, packed, model.params).select(*kept, F.coalesce(boosting.sigmoid(z), F.lit(model.average)).alias("p"))
 
 
 PRICE_PARAMS = BoostParams(trees=100, base=0.5, loss="squared")
@@ -183,18 +133,16 @@ PRICE_PARAMS = BoostParams(trees=100, base=0.5, loss="squared")
 
 def fit_price(rows: DataFrame, params: BoostParams = PRICE_PARAMS) -> DataFrame:
     """Trees of the one global bid-price model. ``rows``: (row_key, idx, bidprice), a written table."""
-    targets = rows.where(F.col("bidprice").isNotNull()).select(
-        F.lit(0).alias("model"), "row_key", "idx", F.col("bidprice").alias("y"), F.lit(1.0).alias("weight")
-    )
-    return boosting.fit(targets, ["model"], params)
+    targets = rows.where(F.col("bidprice").isNotNull()).select("row_key", "idx", F.col("bidprice").alias("y"), F.lit(1.0).alias("weight"))
+    return boosting.fit_one(materialize(targets, "targets"), params)
 
 
 def predict_price(trees: DataFrame, rows: DataFrame, params: BoostParams = PRICE_PARAMS) -> DataFrame:
-    """Adds ``pred_bid``. The model is one row of bounded size."""
-    model = boosting.nested(trees, ["model"], params.depth)
+    """Adds ``pred_bid``. The model is one row of bounded size; without any tree it is the base price."""
+    model = boosting.nested(trees.withColumn("_model", F.lit(0)), ["_model"], params.depth)
     return (
-        rows.withColumn("model", F.lit(0))
-        .join(F.broadcast(model), "model")
-        .withColumn("pred_bid", boosting.margin("trees", params.depth, params.base))
-        .drop("model", "trees")
+        rows.withColumn("_model", F.lit(0))
+        .join(F.broadcast(model), "_model", "left")
+        .withColumn("pred_bid", F.coalesce(boosting.margin("trees", params.depth, params.base), F.lit(float(params.base))))
+        .drop("_model", "trees")
     )
