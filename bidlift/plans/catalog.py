@@ -31,7 +31,7 @@ from ..schemas import BID_PATHS, FEATURE_FIELDS, MULTI_FIELDS
 from ..session import fresh_path, materialize
 from ..sources import logs, tables, text
 from ..streaming import jobs
-from . import scoring, training
+from . import job, scoring, training
 from . import testbed as B
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -334,6 +334,15 @@ def window_training_rows(spark, sf):
     return _flat_text(rows.window_training_rows(window, log, ads, ("row_key",)))
 
 
+def window_kept_rows(spark, sf):
+    """For every adid that the window gate trains: the rows of its own kept band, and all its conversions."""
+    kept = materialize(retrain_gate_windows(spark, sf), "kept")
+    days, (first, last) = rows.kept_days(kept)
+    window = B.session_log(spark, sf, str(first), str(last + dt.timedelta(days=1)))
+    log = B.session_log(spark, sf).drop("_status", "producttype")
+    return _flat_text(rows.kept_window_rows(window.drop("_status", "producttype"), log, kept, ("row_key",)))
+
+
 def bid_training_rows(spark, sf):
     """Bid rows of the ads of the fixed list, and the session rows of all ads in the new range."""
     fixed = materialize(B.bid_correction(spark, sf).select(F.col("axid").alias("ad_id")), "fixed")
@@ -664,29 +673,90 @@ def calibration_holds(spark, sf):
     )
 
 
-def cvr_model(spark, sf):
-    """Train every eligible campaign and give its record."""
+# Trees and coefficients given by number, for checks of prediction.
+GIVEN = models.BoostParams(trees=8, depth=2, base=0.5)
+GIVEN_COLUMNS = 97
+
+
+def _given_trees(ads: DataFrame) -> DataFrame:
+    """The given trees of every row of ``ads``: nodes 1 to 3 split, 4 to 7 are leaves."""
+    every = ads.withColumn("id", F.explode(F.sequence(F.lit(0), F.lit(8 * GIVEN.trees - 1))))
+    nodes = every.withColumns({"tree": (F.col("id") / 8).cast("int"), "node": (F.col("id") % 8).cast("int")}).where("node > 0")
+    split = F.when(F.col("node") < 4, (F.col("tree") * 13 + F.col("node") * 5) % GIVEN_COLUMNS).otherwise(-1).cast("int")
+    value = ((F.col("tree") * 31 + F.col("node") * 17) % 101 - 40) / F.lit(8.0)
+    return nodes.select(*ads.columns, "tree", "node", split.alias("split"), value.alias("value"))
+
+
+def tree_margin(spark, sf):
+    """The margin of given trees on every training row in the global bid indices."""
+    dictionary = materialize(vocab.global_dict(vocab.token_distinct(_bid_rows(spark, sf))), "dict")
+    encoded = vocab.encode_rows(_training(spark, sf, "axid"), dictionary, ["row_key", "ad_id"], model=None)
+    rated = models.predict_price(_given_trees(spark.range(1).select(F.lit(0).alias("model"))), encoded, GIVEN)
+    return rated.select("row_key", "ad_id", F.round("pred_bid", 6).alias("margin"))
+
+
+def bid_constant_predicted(spark, sf):
+    """Bid constants from the predictions of given price trees."""
+    dictionary = materialize(vocab.global_dict(vocab.token_distinct(_bid_rows(spark, sf))), "dict")
+    bids = job.predicted_bids(_training(spark, sf, "axid"), job.PriceModel(_given_trees(spark.range(1).select(F.lit(0).alias("model"))), dictionary, GIVEN))
+    out = calibrate.bid_constant(bids, _click_actives(spark, sf, "axid"))
+    return out.withColumn("bid_constant", F.round("bid_constant", 4))
+
+
+def linear_predict(spark, sf):
+    """Probabilities of every training row under given trees and coefficients, one model an adid."""
     encoded, dictionary = _encoded(spark, sf, "adid")
+    widths = _model_widths(dictionary)
+    ads = widths.select("ad_id", F.lit(models.FULL).alias("variant"), "width")
+    trees = materialize(_given_trees(ads.select("ad_id", "variant")), "trees")
+    last = F.col("width") + GIVEN.trees * 2 ** (GIVEN.depth + 1)
+    active = ads.select("ad_id", "variant", F.explode(F.sequence(F.lit(0), last)).alias("col")).where((F.col("col") * 7 + F.col("ad_id")) % 5 < 2)
+    coef = ((F.col("col") * 37 + F.col("ad_id")) % 41 - 20) / F.lit(40.0)
+    packed = active.groupBy("ad_id", "variant").agg(F.array_sort(F.collect_list(F.struct(F.col("col").cast("int").alias("col"), coef.alias("coef")))).alias("a"))
+    coefs = packed.select("ad_id", "variant", F.transform("a", lambda x: x["col"]).alias("cols"), F.transform("a", lambda x: x["coef"]).alias("coefs"))
+    model = models.TreeLinear(trees, materialize(coefs, "coefs"), widths, GIVEN)
+    asked = encoded.withColumn("variant", F.lit(models.FULL))
+    return models.predict(model, asked, ["row_key"]).select("row_key", "ad_id", F.round("p", 6).alias("p"))
+
+
+def cvr_model(spark, sf):
+    """Train every eligible campaign and give its record, with the bid constant from the price model's predictions."""
+    derived = _training(spark, sf, "adid")
+    dictionary = _dict(derived)
+    encoded = materialize(vocab.encode_rows(derived, dictionary, ROW_COLUMNS), "encoded")
     trained = training.train(
         training.prepare(encoded, ["row_key"]),
         _model_widths(dictionary),
         _click_actives(spark, sf, "adid"),
         materialize(sampling.no_sample(encoded), "fractions"),
     )
-    constants = calibrate.bid_constant(
-        calibrate.bid_average(encoded, "bidprice"), _click_actives(spark, sf, "adid")
-    )
+    constants = calibrate.bid_constant(job.predicted_bids(derived, _price_model(spark, sf)), _click_actives(spark, sf, "adid"))
     return trained.meta.join(constants, "ad_id", "left")
 
 
+def train_job_state(spark, sf):
+    """The training job of all creatives that the gate lets through, broken off after each stage and taken up again; the state it leaves."""
+    root = fresh_path(spark, "job")
+    tables.publish_snapshot({"state": B.ad_state(spark, sf)}, f"{root}/state", "2001-11-01_00-00-00")
+    new, old = B.new_sessions(spark, sf), B.old_sessions(spark, sf)
+    for stage in (*job.STAGES[:-1], None):
+        try:
+            job.train_ads(new, old, root, "2001-12-01_00-00-00", B.NOW, job.BY_AXID, stop_after=stage)
+        except job.Stopped:
+            continue
+    return job.latest_state(spark, f"{root}/state")
+
+
+def _price_model(spark, sf) -> job.PriceModel:
+    root = fresh_path(spark, "price")
+    job.train_price(materialize(_bid_rows(spark, sf), "bids"), root, "2001-12-01_00-00-00")
+    return job.load_price(spark, root)
+
+
 def bid_model(spark, sf):
     """Train the global price model and give the mean predicted bid of every eligible creative."""
-    bids = materialize(_bid_rows(spark, sf), "bids")
-    dictionary = materialize(vocab.global_dict(vocab.token_distinct(bids)), "dict")
-    encoded = materialize(vocab.encode_rows(bids, dictionary, ["row_key", "bidprice"], model=None), "encoded")
-    trees = models.fit_price(encoded)
-    ads = vocab.encode_rows(_training(spark, sf, "axid"), dictionary, ["row_key", "ad_id"], model=None)
-    return calibrate.bid_average(models.predict_price(trees, ads))
+    price = _price_model(spark, sf)
+    return job.predicted_bids(_training(spark, sf, "axid"), price)
 
 
 def score_requests_learned(spark, sf):
@@ -863,6 +933,7 @@ QUERIES: dict[str, Query] = {
     "window_negatives": window_negatives,
     "training_rows": training_rows,
     "window_training_rows": window_training_rows,
+    "window_kept_rows": window_kept_rows,
     "bid_training_rows": bid_training_rows,
     "training_weights": training_weights,
     "tokenize": tokenize,
@@ -900,6 +971,10 @@ QUERIES: dict[str, Query] = {
     "cross_auc": cross_auc,
     "cross_auc_given": cross_auc_given,
     "calibration_holds": calibration_holds,
+    "tree_margin": tree_margin,
+    "linear_predict": linear_predict,
+    "bid_constant_predicted": bid_constant_predicted,
+    "train_job_state": train_job_state,
     "cvr_model": cvr_model,
     "bid_model": bid_model,
     "score_requests_learned": score_requests_learned,

@@ -294,12 +294,13 @@ _NAMES = """names AS (SELECT m.axid AS spotid, m.adid, s_name AS remark
   FROM (SELECT axid, max(adid) AS adid FROM core WHERE adid <> 0 GROUP BY axid) m
   JOIN supplier ON m.axid = 100000 + s_suppkey)"""
 
-_BIDS = f"""{_CORE}, {_FULL},
-bid_rows AS (
+_BIDS_ONLY = f"""bid_rows AS (
   SELECT * FROM full_log WHERE status = 'O' AND axid % 4 = 1
   UNION ALL SELECT * FROM full_log WHERE {_NEW}),
 {_derived("bid_rows", "bid_derived")}, {_tokens("bid_derived", "0 AS z", "bid_tokens", weight=False)}"""
 
+_BIDS = f"{_CORE}, {_FULL}, {_BIDS_ONLY}"
+
 _GDICT = f"""gdict AS (
   SELECT field_pos, field, value,
     row_number() OVER (ORDER BY field_pos, substr(md5(value), 1, 3), value) - 1 AS global_idx
@@ -338,6 +339,49 @@ _BANDS = f"""bands AS (SELECT adid AS ad_id, {_BAND} AS band, count(*) AS sessio
 newest AS (SELECT band, row_number() OVER (ORDER BY band DESC) AS widx FROM (SELECT DISTINCT band FROM bands)
   QUALIFY widx <= 10)"""
 
+_KEPT = f"""WITH RECURSIVE {_CORE}, {_BANDS},
+steps AS (SELECT b.*, row_number() OVER (PARTITION BY ad_id ORDER BY widx) AS n
+  FROM bands b JOIN newest USING (band) WHERE actives > {B.WINDOW_MORE_THAN}),
+walk AS (
+  SELECT ad_id, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS sessions, CAST(0 AS BIGINT) AS actives,
+    CAST('' AS VARCHAR) AS trained_bands, CAST(NULL AS BIGINT) AS kept_band
+  FROM (SELECT DISTINCT ad_id FROM steps)
+  UNION ALL
+  SELECT w.ad_id, s.n, CASE WHEN ok THEN s.sessions ELSE w.sessions END,
+    CASE WHEN ok THEN s.actives ELSE w.actives END,
+    CASE WHEN NOT ok THEN w.trained_bands WHEN w.trained_bands = '' THEN CAST(s.band AS VARCHAR)
+         ELSE w.trained_bands || ',' || s.band END,
+    CASE WHEN ok THEN s.band ELSE w.kept_band END
+  FROM walk w JOIN steps s ON s.ad_id = w.ad_id AND s.n = w.n + 1,
+  LATERAL (SELECT 10 * (s.sessions - w.sessions) > s.sessions AND w.sessions < 360000 AS ok)),
+kept AS (SELECT ad_id, sessions, actives, trained_bands, kept_band FROM walk
+WHERE kept_band IS NOT NULL QUALIFY row_number() OVER (PARTITION BY ad_id ORDER BY n DESC) = 1)"""
+
+def _leaf(idx: str, tree: str) -> str:
+    """The leaf of given tree ``tree`` that a row with indices ``idx`` ends in."""
+    def hit(node: str) -> str:
+        return f"CAST(list_contains({idx}, ({tree} * 13 + ({node}) * 5) % {Q.GIVEN_COLUMNS}) AS INTEGER)"
+
+    second = f"2 + {hit('1')}"
+    return f"(2 * ({second}) + {hit(second)})"
+
+
+_MARGIN = f"""{_training("axid")}, {_tokens("derived", "row_key, ad_id")}, {_BIDS_ONLY}, {_GDICT},
+hits AS (SELECT DISTINCT t.row_key, t.ad_id, d.global_idx AS i FROM tokens t JOIN gdict d ON t.field_pos = d.field_pos AND t.value = d.value),
+found AS (SELECT row_key, ad_id, list(i) AS idx FROM hits GROUP BY 1, 2),
+listed AS (SELECT r.row_key, r.ad_id, coalesce(f.idx, []) AS idx FROM derived r LEFT JOIN found f ON f.row_key = r.row_key AND f.ad_id = r.ad_id),
+walked AS (SELECT row_key, ad_id, t, {_leaf("idx", "t")} AS leaf FROM listed, (SELECT unnest(range({Q.GIVEN.trees})) AS t)),
+margins AS (SELECT row_key, ad_id, {Q.GIVEN.base} + sum(((t * 31 + leaf * 17) % 101 - 40) / 8.0::DOUBLE) AS margin FROM walked GROUP BY 1, 2)"""
+
+_LINEAR = f"""{_dict("adid")}, {_encoded()},
+width AS (SELECT ad_id, count(*) AS w FROM dict GROUP BY 1),
+cols AS (
+  SELECT row_key, e.ad_id, unnest(idx) AS col FROM enc e
+  UNION ALL SELECT row_key, e.ad_id, w + t * 8 + {_leaf("idx", "t")} FROM enc e JOIN width USING (ad_id), (SELECT unnest(range({Q.GIVEN.trees})) AS t)
+  UNION ALL SELECT row_key, e.ad_id, w + {Q.GIVEN.trees} * 8 FROM enc e JOIN width USING (ad_id)),
+sums AS (SELECT row_key, ad_id, coalesce(sum(((col * 37 + ad_id) % 41 - 20) / 40.0::DOUBLE) FILTER (WHERE (col * 7 + ad_id) % 5 < 2), 0) AS z
+  FROM cols GROUP BY 1, 2)"""
+
 ORACLE: dict[str, str] = {
     "scan_sessions": f"""WITH {_CORE} SELECT row_key, CAST(date AS VARCHAR) AS date, has_click, has_active, axid, adid
 FROM core WHERE date >= DATE '2000-09-01' AND date < DATE '2000-09-23'""",
@@ -395,23 +439,7 @@ SELECT coalesce(s.ad_id, g.ad_id) AS ad_id, 'axid' AS level, coalesce(g.sessions
 FROM state s FULL JOIN (SELECT * FROM gate WHERE train) g ON s.ad_id = g.ad_id""",
     "date_bands": f"""WITH {_CORE} SELECT {_BAND} AS band, CAST(min(date) AS VARCHAR) AS first_day,
   CAST(max(date) AS VARCHAR) AS last_day, count(*) AS num FROM core GROUP BY 1""",
-    "retrain_gate_windows": f"""WITH RECURSIVE {_CORE}, {_BANDS},
-steps AS (SELECT b.*, row_number() OVER (PARTITION BY ad_id ORDER BY widx) AS n
-  FROM bands b JOIN newest USING (band) WHERE actives > {B.WINDOW_MORE_THAN}),
-walk AS (
-  SELECT ad_id, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS sessions, CAST(0 AS BIGINT) AS actives,
-    CAST('' AS VARCHAR) AS trained_bands, CAST(NULL AS BIGINT) AS kept_band
-  FROM (SELECT DISTINCT ad_id FROM steps)
-  UNION ALL
-  SELECT w.ad_id, s.n, CASE WHEN ok THEN s.sessions ELSE w.sessions END,
-    CASE WHEN ok THEN s.actives ELSE w.actives END,
-    CASE WHEN NOT ok THEN w.trained_bands WHEN w.trained_bands = '' THEN CAST(s.band AS VARCHAR)
-         ELSE w.trained_bands || ',' || s.band END,
-    CASE WHEN ok THEN s.band ELSE w.kept_band END
-  FROM walk w JOIN steps s ON s.ad_id = w.ad_id AND s.n = w.n + 1,
-  LATERAL (SELECT 10 * (s.sessions - w.sessions) > s.sessions AND w.sessions < 360000 AS ok))
-SELECT ad_id, sessions, actives, trained_bands, kept_band FROM walk
-WHERE kept_band IS NOT NULL QUALIFY row_number() OVER (PARTITION BY ad_id ORDER BY n DESC) = 1""",
+    "retrain_gate_windows": f"{_KEPT} SELECT ad_id, sessions, actives, trained_bands, kept_band FROM kept",
     "flatten_log": f"""WITH {_FULL} SELECT row_key, ad_paytype, {_flat_columns(SESSION_PATHS, "data_json")} FROM full_log""",
     "derive_fields": f"""WITH {_FULL}, {_derived("full_log")} SELECT row_key, ad_paytype, click_active, weekday, time_zone, minute,
   {_flat_columns(tuple(p for p in SESSION_PATHS if p != "drt"), "array_to_string(data, ',')")} FROM derived""",
@@ -426,6 +454,10 @@ camp AS (SELECT ad_id FROM bands JOIN win USING (band) WHERE actives > {B.WINDOW
 SELECT row_key, click_active, ad_paytype, {_flat_columns(SESSION_PATHS, "data_json")} FROM full_log
 WHERE adid IN (SELECT ad_id FROM camp)
   AND (has_active = 1 OR (has_active <> 1 AND {_BAND} = (SELECT band FROM win)))""",
+    "window_kept_rows": f"""{_KEPT},
+{_FULL}
+SELECT row_key, click_active, ad_paytype, {_flat_columns(SESSION_PATHS, "data_json")} FROM full_log f JOIN kept k ON f.adid = k.ad_id
+WHERE has_active = 1 OR (has_active <> 1 AND {_BAND} = kept_band)""",
     "bid_training_rows": f"""WITH {_CORE}, {_FULL}
 SELECT row_key, ad_paytype, {_flat_columns(BID_PATHS, "data_json")} FROM full_log WHERE status = 'O' AND axid % 4 = 1
 UNION ALL SELECT row_key, ad_paytype, {_flat_columns(BID_PATHS, "data_json")} FROM full_log WHERE {_NEW}""",
@@ -494,6 +526,16 @@ FROM derived GROUP BY 1""",
   CAST(sum(CAST(bidprice AS DECIMAL(18,6))) AS DOUBLE) / count(bidprice) AS bid_average, count(*) AS num
 FROM derived GROUP BY 1)
 SELECT v.ad_id, round(bid_average / nullif(click_actives, 0) * num, 4) AS bid_constant FROM avgs v LEFT JOIN ads USING (ad_id)""",
+    "tree_margin": f"WITH {_MARGIN} SELECT row_key, ad_id, round(margin, 6) AS margin FROM margins",
+    "bid_constant_predicted": f"""WITH {_MARGIN},
+avgs AS (SELECT ad_id, CAST(sum(CAST(margin AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS bid_average, count(*) AS num FROM margins GROUP BY 1)
+SELECT v.ad_id, round(bid_average / nullif(click_actives, 0) * num, 4) AS bid_constant FROM avgs v LEFT JOIN ads USING (ad_id)""",
+    "linear_predict": f"WITH {_LINEAR} SELECT row_key, ad_id, round(1 / (1 + exp(-z)), 6) AS p FROM sums",
+    "train_job_state": f"""WITH {_CORE}, {_eligible("axid")}, {_STATE}, {_GATE}
+SELECT coalesce(s.ad_id, g.ad_id) AS ad_id, 'axid' AS level, coalesce(g.sessions, s.sessions) AS sessions,
+  coalesce(g.actives, s.actives) AS actives,
+  CASE WHEN g.ad_id IS NULL THEN s.last_train_time ELSE CAST({B.NOW} AS DOUBLE) END AS last_train_time
+FROM state s FULL JOIN (SELECT * FROM gate WHERE train) g ON s.ad_id = g.ad_id""",
     "cross_auc_given": f"""WITH {_CORE},
 given AS (SELECT adid AS ad_id, row_seq % 2 AS fold, coalesce(click_active, 0) AS y, row_seq * 31 % 97 AS s FROM core),
 ordered AS (SELECT ad_id, fold, y, rank() OVER w + (count(*) OVER (PARTITION BY ad_id, fold, s) - 1) / 2.0::DOUBLE AS r

@@ -24,9 +24,9 @@ def held_out(model: models.TreeLinear, folded: DataFrame) -> DataFrame:
     return models.predict(model, other, ["row_key", "fold", "click_active"]).withColumnRenamed("p", "score")
 
 
-def prepare(encoded: DataFrame, keys: list[str] | None = None, bucket=None) -> DataFrame:
+def prepare(encoded: DataFrame, keys: list[str] | None = None, bucket=None, repeats: int = 5) -> DataFrame:
     """Folds and weights of encoded rows, written."""
-    folded = sampling.assign_folds(sampling.training_weights(encoded), 2, keys, bucket)
+    folded = sampling.assign_folds(sampling.training_weights(encoded, repeats), 2, keys, bucket)
     return materialize(folded, "folded")
 
 

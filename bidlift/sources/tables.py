@@ -69,9 +69,26 @@ def publish_snapshot(tables: dict[str, DataFrame], root: str, run_ts: str) -> No
     manifest.coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST_NAME}")
 
 
+def _runs(spark: SparkSession, root: str) -> DataFrame:
+    return load_table(spark, f"{root}/{MANIFEST_NAME}", MANIFEST)
+
+
+def has_run(spark: SparkSession, root: str) -> bool:
+    return not _runs(spark, root).isEmpty()
+
+
+def is_published(spark: SparkSession, root: str, run_ts: str) -> bool:
+    return not _runs(spark, root).where(F.col("run_ts") == run_ts).isEmpty()
+
+
+def table_names(spark: SparkSession, root: str, run_ts: str) -> list[str]:
+    """Names of a published run's tables, from its manifest."""
+    return _runs(spark, root).where(F.col("run_ts") == run_ts).first()["tables"]
+
+
 def latest_run(spark: SparkSession, root: str) -> str:
     """The latest run whose manifest is written: one short row per run is read."""
-    found = load_table(spark, f"{root}/{MANIFEST_NAME}", MANIFEST).agg(F.max("run_ts")).first()[0]
+    found = _runs(spark, root).agg(F.max("run_ts")).first()[0]
     if found is None:
         raise ValueError(f"no run is published in {root}")
     return found
