@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # At most this many rows of a lookup table are ever broadcast. Rows hold a few
@@ -11,12 +13,37 @@ BROADCAST_ROWS = 1_000_000
 SHORT_TEXT = 128
 
 
+@dataclass(frozen=True)
+class Summary:
+    """What decides the way of a lookup: rows of the table, total popularity, and whether all texts are short."""
+
+    rows: int
+    total: float | None
+    short: bool
+
+
+def _short(table: DataFrame) -> Column:
+    # Keys decide the way of a row; other texts are broadcast along and count as well.
+    out = F.lit(True)
+    for f in table.schema.fields:
+        if f.dataType.simpleString() == "string":
+            out = out & (F.coalesce(F.octet_length(f.name), F.lit(0)) <= SHORT_TEXT)
+    return out
+
+
+def summarize(table: DataFrame, popularity: str) -> Summary:
+    """One scan of the table. Stored beside a published table, it spares every later lookup that scan."""
+    found = table.agg(F.count(F.lit(1)).alias("n"), F.sum(popularity).alias("total"), F.bool_and(_short(table)).alias("short")).first()
+    return Summary(found["n"], None if found["total"] is None else float(found["total"]), found["short"] is not False)
+
+
 def lookup_left(
     facts: DataFrame,
     table: DataFrame,
     keys: list[str],
     popularity: str,
     max_rows: int = BROADCAST_ROWS,
+    summary: Summary | None = None,
 ) -> DataFrame:
     """``facts`` left join ``table``. Both should be written tables, as they are read more than once.
 
@@ -26,21 +53,13 @@ def lookup_left(
     number, so these are broadcast, which takes the frequent keys out of the
     shuffle, and only facts with rare or unknown keys are joined by shuffling.
     """
-    # Keys decide the way of a row; other texts are broadcast along and count as well.
-    texts = [f.name for f in table.schema.fields if f.dataType.simpleString() == "string"]
-    short = F.lit(True)
-    for name in texts:
-        short = short & (F.coalesce(F.octet_length(name), F.lit(0)) <= SHORT_TEXT)
-    summary = table.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(popularity).alias("total"),
-        F.bool_and(short).alias("short"),
-    ).first()
+    short = _short(table)
+    summary = summary or summarize(table, popularity)
     lean = table.drop(popularity)
-    if summary["n"] <= max_rows and summary["short"] is not False:
+    if summary.rows <= max_rows and summary.short:
         return facts.join(F.broadcast(lean), keys, "left")
     # A NULL popularity is none: such keys stay in the shuffled half.
-    hot = short & F.coalesce(F.col(popularity) * max_rows >= F.lit(summary["total"]), F.lit(False))
+    hot = short & F.coalesce(F.col(popularity) * max_rows >= F.lit(summary.total), F.lit(False))
     hot_keys = F.broadcast(table.where(hot).drop(popularity))
     cold = table.where(~hot).drop(popularity)
     found = facts.join(hot_keys, keys, "inner")

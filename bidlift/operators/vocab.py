@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from ..functions import active_weight, field_name
 from ..functions.derive import feature_arrays
 from ..schemas import FIELD_POS, FIRST_MULTI_POS
-from .lookup import BROADCAST_ROWS, lookup_left
+from .lookup import BROADCAST_ROWS, Summary, lookup_left
 from ..session import materialize
 
 # Fixed value: the vocabulary of a model.
@@ -138,6 +138,7 @@ def encode_rows(
     model: str | None = "ad_id",
     cross_exclude: tuple[str, ...] = (),
     max_rows: int = BROADCAST_ROWS,
+    summary: Summary | None = None,
 ) -> DataFrame:
     """Active indices of every row, sorted and without repeats, as ``idx``.
 
@@ -157,7 +158,7 @@ def encode_rows(
     lookup = lookup.select(*keys, "weight", "global_idx")
     carried = [c for c in row_keys if c != model] + ([model] if model else [])
     tokens = tokenize(rows, carried, marker=True)
-    found = lookup_left(tokens, lookup, keys, "weight", max_rows)
+    found = lookup_left(tokens, lookup, keys, "weight", max_rows, summary)
     index = F.col("global_idx").cast("int")
     out = [F.array_sort(F.collect_set(index)).alias("idx")]
     if cross_exclude:

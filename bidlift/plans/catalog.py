@@ -883,14 +883,18 @@ def stream_daily_counts(spark, sf):
 
 
 def stream_score(spark, sf):
+    """Requests as a stream, scored with whatever run is the latest when their batch begins."""
     meta, routes, default = _routing(spark, sf)
-    models = _smoothed_models(spark, sf, meta)
+    root = fresh_path(spark, "models")
+    scoring.save_models(_smoothed_models(spark, sf, meta), meta, root, "2001-12-01_00-00-00")
     correction = materialize(B.bid_correction(spark, sf), "factors")
+    handle = jobs.ModelHandle(spark, root, scoring.load_models)
 
     def score(batch: DataFrame) -> DataFrame:
-        requests = B.session_log(batch.sparkSession, sf, lineitem=batch).where(F.col("_status") == "O")
+        models, records = handle.current()
+        requests = B.session_log(batch.sparkSession, sf, lineitem=batch.drop("_file")).where(F.col("_status") == "O")
         return scoring.score_requests(
-            requests.drop("_status", "has_click", "has_active"), models, routes, default, meta, correction
+            requests.drop("_status", "has_click", "has_active"), models, routes, default, records, correction
         )
 
     stream = jobs.read_stream(spark, sf, B.table(spark, sf, "lineitem").schema, "lineitem.parquet")

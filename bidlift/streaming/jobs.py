@@ -1,41 +1,37 @@
 """Streaming forms of counting and scoring.
 
-Every sink writes a micro-batch under its batch id and overwrites it when the
-batch is retried, so results are the same however often a batch runs.
+The counting sinks keep a commit log, so that every source file counts once
+whatever is retried or lost. The scoring sink writes a micro-batch under its
+batch id and overwrites it when the batch is retried.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import fresh_path
-from ..sources.tables import load_table
+from ..session import fresh_path, materialize
+from ..sources import tables
+from .commits import CommitLog
 
 LATE = "11 days"
 
-AD_COUNTS = T.StructType(
-    [
-        T.StructField("ad_id", T.LongType()),
-        T.StructField("sessions", T.LongType()),
-        T.StructField("clicks", T.LongType()),
-        T.StructField("actives", T.LongType()),
-    ]
-)
+COUNTS = {"sessions": "bigint", "clicks": "bigint", "actives": "bigint"}
+DAY_COUNTS = {"sessions": "bigint", "actives": "bigint"}
+SEEN = T.StructType([T.StructField("newest", T.TimestampType())])
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None, files_per_batch: int | None = None) -> DataFrame:
-    """A stream of parquet files with a fixed schema."""
+    """A stream of parquet files with a fixed schema; ``_file`` names the file of a row."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.parquet(path).withColumn("_file", F.col("_metadata.file_path"))
 
 
 def run_available(
@@ -61,60 +57,79 @@ def score_sink(score: Callable[[DataFrame], DataFrame], out: str) -> Callable[[D
     return write
 
 
+def ad_log(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, root, {"ad_id": "bigint"}, COUNTS)
+
+
 def count_sink(out: str) -> Callable[[DataFrame, int], None]:
-    """Running counters per ad: version n is version n - 1 plus batch n."""
+    """Counters per ad, as one version a batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        counts = batch.groupBy("ad_id").agg(
+        log = ad_log(batch.sparkSession, out)
+        fresh = materialize(log.fresh(batch), "batch")
+        counts = fresh.groupBy("ad_id").agg(
             F.count(F.lit(1)).alias("sessions"),
             F.sum("has_click").cast("bigint").alias("clicks"),
             F.sum("has_active").cast("bigint").alias("actives"),
         )
-        if batch_id > 0:
-            old = spark.read.schema(AD_COUNTS).parquet(f"{out}/version={batch_id - 1}")
-            counts = (
-                old.unionByName(counts)
-                .groupBy("ad_id")
-                .agg(*[F.sum(c).alias(c) for c in ("sessions", "clicks", "actives")])
-            )
-        counts.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
+        log.commit(counts, fresh.select("_file").distinct())
 
     return write
 
 
 def latest_counts(spark: SparkSession, out: str) -> DataFrame:
-    try:
-        versions = spark.read.option("basePath", out).parquet(out)
-    except AnalysisException:
-        return load_table(spark, out, AD_COUNTS)
-    last = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == last).drop("version")
-
-
-def daily_counts(stream: DataFrame, late: str = LATE) -> DataFrame:
-    """Sessions and actives per ad and day; a day may still change for ``late`` after the newest event."""
-    return (
-        stream.withWatermark("ts", late)
-        .groupBy(F.window("ts", "1 day"), "ad_id")
-        .agg(F.count(F.lit(1)).alias("sessions"), F.sum("has_active").cast("bigint").alias("actives"))
-        .select(F.col("window.start").alias("day"), "ad_id", "sessions", "actives")
-    )
+    return ad_log(spark, out).current()
+
+
+def day_log(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, root, {"day": "timestamp", "ad_id": "bigint"}, DAY_COUNTS)
+
+
+def daily_sink(out: str, late: str = LATE) -> Callable[[DataFrame, int], None]:
+    """Sessions and actives per ad and day, split at a watermark.
 
+    A day is closed once it ended ``late`` before the newest event of the
+    versions before the batch. Rows of closed days change no counts; they go to
+    the table ``late``, so that counts and late rows together are all rows.
+    """
 
-def update_sink(out: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        log = day_log(spark, out)
+        fresh = materialize(log.fresh(batch), "batch")
+        newest = log.read("seen", SEEN).agg(F.max("newest")).first()[0]
+        day = F.date_trunc("day", "ts")
+        closed = F.lit(False) if newest is None else day + F.expr("interval 1 day") <= F.lit(newest) - F.expr(f"interval {late}")
+        split = fresh.withColumns({"day": day, "_late": F.coalesce(closed, F.lit(False))})
+        counts = split.where(~F.col("_late")).groupBy("day", "ad_id").agg(
+            F.count(F.lit(1)).alias("sessions"), F.sum("has_active").cast("bigint").alias("actives")
+        )
+        log.commit(
+            counts, fresh.select("_file").distinct(), late=split.where("_late").drop("_late", "_file"),
+            seen=fresh.agg(F.max("ts").alias("newest")),
+        )
 
     return write
 
 
-def latest_updates(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
-    """The last update of every key."""
-    updates = spark.read.option("basePath", out).parquet(out)
-    values = [c for c in updates.columns if c not in (*keys, "batch_id")]
-    picked = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
-    return picked.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
+def late_rows(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """Rows that came after their day was closed. ``schema``: that of the stream with ``day``."""
+    return day_log(spark, out).read("late", schema)
+
+
+class ModelHandle:
+    """The models of the latest published run, loaded again when a newer one is there."""
+
+    def __init__(self, spark: SparkSession, root: str, load: Callable[[SparkSession, str, str], object]):
+        self.spark, self.root, self.load = spark, root, load
+        self.run: str | None = None
+        self.models: object = None
+
+    def current(self) -> object:
+        newest = tables.latest_run(self.spark, self.root)
+        if newest != self.run:
+            self.models, self.run = self.load(self.spark, self.root, newest), newest
+        return self.models
 
 
 def event_sessions(events: DataFrame) -> DataFrame:
@@ -124,6 +139,7 @@ def event_sessions(events: DataFrame) -> DataFrame:
         (F.lit(100000) + F.col("user_id") % 10).alias("ad_id"),
         (F.col("event_type") == "click").cast("int").alias("has_click"),
         (F.col("event_type") == "purchase").cast("int").alias("has_active"),
+        *[c for c in ["_file"] if c in events.columns],
     )
 
 
@@ -135,10 +151,10 @@ def count_stream(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 
 def daily_stream(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    """Run the daily job over what is there and give the last state of every day."""
+    """Run the daily job over what is there and give the counts of every day."""
     out = fresh_path(spark, "daily")
-    run_available(daily_counts(stream), update_sink(f"{out}/updates"), f"{out}/checkpoint", "update")
-    return latest_updates(spark, f"{out}/updates", ["day", "ad_id"])
+    run_available(stream, daily_sink(f"{out}/state"), f"{out}/checkpoint")
+    return day_log(spark, f"{out}/state").current()
 
 
 def score_stream(spark: SparkSession, stream: DataFrame, score: Callable[[DataFrame], DataFrame]) -> DataFrame:
