@@ -218,6 +218,20 @@ def test_shards_are_even_and_keep_groups(docs, none, spark):
         assert sorted(r.slot for r in rows if r.shard == j) == list(range(60))
 
 
+def test_a_text_larger_than_a_shard_fills_few_shards(spark):
+    """8,000 copies of one text, 2,000 texts of four copies, 8,000 of one, ids in ties: 24 shards of 1,000 rows."""
+    texts = [(i // 2, "hot") for i in range(8000)] + [(i, f"four {i // 4}") for i in range(8000)] + [(i, f"one {i}") for i in range(8000)]
+    rows = sharding.shard_documents(documents(spark, texts, clash=False)).collect()
+    assert len(rows) == 24000 and set(Counter(r.shard for r in rows).values()) == {1000}
+    hot = Counter(r.shard for r in rows if r.text_crc32 == crc_text("hot"))
+    assert sum(hot.values()) == 8000 and len(hot) <= 9, hot
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.group, []).append(r.shard)
+    whole = sum(len(set(g)) == 1 for g in groups.values() if len(g) == 4)
+    assert whole >= 1800, whole
+
+
 def crc_text(text):
     import zlib
 
