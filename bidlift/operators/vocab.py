@@ -142,7 +142,8 @@ def encode_rows(
 ) -> DataFrame:
     """Active indices of every row, sorted and without repeats, as ``idx``.
 
-    ``row_keys`` identify a row and include every column to carry along;
+    ``row_keys`` are the columns to carry along, each row on its own even if all
+    of them are equal in two rows: a row is told by its place in the table.
     ``model`` names the column that picks the dictionary, None for a global
     one. Unknown values are dropped, a row without known values keeps an empty
     array. With ``cross_exclude``, ``cross_idx`` holds the indices without those
@@ -157,7 +158,7 @@ def encode_rows(
         keys = [model, *keys]
     lookup = lookup.select(*keys, "weight", "global_idx")
     carried = [c for c in row_keys if c != model] + ([model] if model else [])
-    tokens = tokenize(rows, carried, marker=True)
+    tokens = tokenize(rows.withColumn("_row", F.monotonically_increasing_id()), ["_row", *carried], marker=True)
     found = lookup_left(tokens, lookup, keys, "weight", max_rows, summary)
     index = F.col("global_idx").cast("int")
     out = [F.array_sort(F.collect_set(index)).alias("idx")]
@@ -166,7 +167,7 @@ def encode_rows(
         out.append(
             F.array_sort(F.collect_set(F.when(~F.col("field_pos").isin(excluded), index))).alias("cross_idx")
         )
-    return found.groupBy(*carried).agg(*out)
+    return found.groupBy("_row").agg(*[F.first(c).alias(c) for c in carried], *out).drop("_row")
 
 
 def decode_features(encoded: DataFrame, dictionary: DataFrame, keep: list[str]) -> DataFrame:

@@ -7,6 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from ..session import materialize
 
 
 def read_log(
@@ -16,11 +19,13 @@ def read_log(
     end: dt.date | str | None = None,
     producttypes: tuple[str, ...] | None = None,
     schema: T.StructType | None = None,
+    row_key: str | None = None,
 ) -> DataFrame:
     """A log partitioned by ``date`` (and ``producttype``), days ``start`` to ``end`` inclusive.
 
     The root is read with partition predicates, so only the matching folders
-    are listed into the scan and the partition columns are kept.
+    are listed into the scan and the partition columns are kept. ``row_key``
+    names a column to add that tells rows apart (see ``with_row_key``).
     """
     reader = spark.read.option("basePath", root)
     if schema is not None:
@@ -32,7 +37,22 @@ def read_log(
         log = log.where(F.col("date") <= F.lit(str(end)).cast("date"))
     if producttypes is not None:
         log = log.where(F.col("producttype").isin(*producttypes))
-    return log
+    return log if row_key is None else with_row_key(log, row_key)
+
+
+def with_row_key(log: DataFrame, name: str = "row_key") -> DataFrame:
+    """Adds a bigint that tells rows apart, also those equal in all columns.
+
+    ``log`` comes straight from files, at most filtered. A row's number is its
+    place in its file plus the rows of the files before, by path, so it is the
+    same on every read while the files are the same. The table of files has one
+    short row a file.
+    """
+    placed = log.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at"))
+    files = placed.groupBy("_path").agg((F.max("_at") + 1).alias("_n"))
+    before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialize(files.select("_path", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), "files")
+    return placed.join(starts, "_path").withColumn(name, F.col("_start") + F.col("_at")).drop("_path", "_at", "_start")
 
 
 def _parts(log: DataFrame) -> list[str]:

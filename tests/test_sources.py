@@ -126,3 +126,37 @@ def test_work_dir_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert work_dir(spark) == named.rstrip("/")
     assert fresh_path(spark, "t") != fresh_path(spark, "t")
+
+
+def test_row_keys_tell_equal_impressions_apart(spark, tmp_path):
+    """Numbers by file and place: unique, the same on every read, also under a filter; equal rows stay two through encoding and pricing."""
+    from conftest import SMALL
+
+    from bidlift.functions.derive import derive_fields, flatten_log
+    from bidlift.operators import vocab
+    from bidlift.plans import catalog, scoring
+    from bidlift.plans import testbed as B
+
+    log = B.bid_log(spark, SMALL).drop("row_key", "row_seq")
+    twice = log.unionByName(log)
+    root = str(tmp_path / "log")
+    twice.repartition(5).write.partitionBy("producttype", "date").parquet(root)
+    first = logs.read_log(spark, root, row_key="row_key").select("row_key", "drt", "ad.axid")
+    second = logs.read_log(spark, root, row_key="row_key").select("row_key", "drt", "ad.axid")
+    n = twice.count()
+    assert first.schema["row_key"].dataType.simpleString() == "bigint"
+    assert first.select("row_key").distinct().count() == n and first.exceptAll(second).count() == 0
+    part = logs.read_log(spark, root, start=dt.date(1998, 1, 1), row_key="row_key").select("row_key")
+    assert 0 < part.count() == part.distinct().count() < n
+
+    meta, routes, default = catalog._routing(spark, SMALL)
+    models = catalog._smoothed_models(spark, SMALL, meta)
+    requests = logs.read_log(spark, root, row_key="row_key")
+    priced = scoring.score_requests(requests, models, routes, default, meta, B.bid_correction(spark, SMALL))
+    assert priced.count() == n and priced.select("row_key").distinct().count() == n
+    blind = scoring.score_requests(requests.withColumn("row_key", F.lit(0)), models, routes, default, meta, B.bid_correction(spark, SMALL))
+    assert blind.count() == n  # even without a key no row is lost
+
+    rows = catalog.materialize(derive_fields(flatten_log(requests, ("row_key",))).withColumn("ad_id", F.col("axid")), "rows")
+    encoded = vocab.encode_rows(rows, models.dictionary, ["ad_id"])
+    assert encoded.count() == rows.count()
