@@ -29,7 +29,7 @@ from ..operators import (
 )
 from ..schemas import BID_PATHS, FEATURE_FIELDS, MULTI_FIELDS
 from ..session import fresh_path, materialize
-from ..sources import logs, tables, text
+from ..sources import daily, logs, tables, text
 from ..streaming import jobs
 from . import job, scoring, training
 from . import testbed as B
@@ -133,6 +133,17 @@ def refresh_partitions(spark, sf):
     )
 
 
+def counts_after_refresh(spark, sf):
+    """The log of ``refresh_partitions`` with counters per day: after the refresh only its eleven days are counted again."""
+    root, counted = fresh_path(spark, "sessions"), fresh_path(spark, "day-counts")
+    full = B.session_core(spark, sf, B.SPLIT_DAY)
+    logs.ingest_window(full.withColumn("has_active", F.lit(0)), root, TODAY, 35)
+    daily.write_day_counts(spark, root, counted, TODAY - dt.timedelta(days=35), TODAY)
+    logs.refresh_partitions(full, root, TODAY)
+    daily.refresh_day_counts(spark, root, counted, TODAY)
+    return daily.by_level(daily.read_day_counts(spark, counted))
+
+
 def ad_names(spark, sf):
     path = fresh_path(spark, "names")
     tables.write_report_csv(B.ad_names(spark, sf), path)
@@ -906,6 +917,7 @@ QUERIES: dict[str, Query] = {
     "scan_bids": scan_bids,
     "ingest_window": ingest_window,
     "refresh_partitions": refresh_partitions,
+    "counts_after_refresh": counts_after_refresh,
     "ad_names": ad_names,
     "ad_state_save": ad_state_save,
     "ad_state_load": ad_state_load,

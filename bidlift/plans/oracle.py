@@ -392,6 +392,13 @@ FROM core WHERE {_days(35, 1)} GROUP BY 1""",
     "refresh_partitions": f"""WITH {_CORE} SELECT CAST(date AS VARCHAR) AS date, count(*) AS num,
   CASE WHEN date >= DATE '{B_TODAY}' - INTERVAL 10 DAY THEN count(*) FILTER (WHERE has_active = 1) ELSE 0 END AS actives
 FROM core WHERE {_days(35, 0)} GROUP BY core.date""",
+    "counts_after_refresh": f"""WITH {_CORE}, logged AS (
+  SELECT axid, adid, CASE WHEN date >= DATE '{B_TODAY}' - INTERVAL 10 DAY THEN has_active ELSE 0 END AS a,
+    CASE WHEN date >= DATE '{B_TODAY}' - INTERVAL 10 DAY THEN click_active ELSE 0 END AS c
+  FROM core WHERE {_days(35, 0)})
+SELECT axid AS ad_id, 'axid' AS level, count(*) AS sessions, count(*) FILTER (WHERE a = 1) AS actives, count(*) FILTER (WHERE c = 1) AS click_actives
+FROM logged GROUP BY 1 UNION ALL
+SELECT adid, 'adid', count(*), count(*) FILTER (WHERE a = 1), count(*) FILTER (WHERE c = 1) FROM logged GROUP BY 1""",
     "ad_names": f"""WITH {_CORE}, {_NAMES} SELECT spotid AS ad_id, remark, 'axid' AS level FROM names
 UNION ALL SELECT adid, arg_max(remark, spotid), 'adid' FROM names GROUP BY adid""",
     "ad_state_save": f"WITH {_CORE}, {_STATE} SELECT * FROM state",

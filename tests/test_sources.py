@@ -160,3 +160,29 @@ def test_row_keys_tell_equal_impressions_apart(spark, tmp_path):
     rows = catalog.materialize(derive_fields(flatten_log(requests, ("row_key",))).withColumn("ad_id", F.col("axid")), "rows")
     encoded = vocab.encode_rows(rows, models.dictionary, ["ad_id"])
     assert encoded.count() == rows.count()
+
+
+def test_a_refresh_counts_only_its_days(spark):
+    """Days outside the refresh keep their counts even if the log behind them changed; emptied days lose theirs."""
+    from bidlift.sources import daily
+
+    root, counted = fresh_path(spark, "log"), fresh_path(spark, "counts")
+    logs.ingest_window(_days(spark, "a"), root, DAY, 5)
+    first = DAY - dt.timedelta(days=5)
+    daily.write_day_counts(spark, root, counted, first, DAY)
+    assert daily.read_day_counts(spark, counted).agg(F.sum("sessions")).first()[0] == 10
+    more = _days(spark, "b").unionByName(_days(spark, "c"))
+    logs.refresh_partitions(more, root, DAY, 5)  # the log changes on all days, four rows each
+    daily.refresh_day_counts(spark, root, counted, DAY, 1)
+    by_day = by(daily.read_day_counts(spark, counted).groupBy("date").agg(F.sum("sessions").alias("n")), "date")
+    assert {d: r["n"] for d, r in by_day.items()} == {
+        DAY - dt.timedelta(days=n): 4 if n <= 1 else 2 for n in range(6)
+    }
+    log_days = logs.read_log(spark, root, DAY - dt.timedelta(days=1), DAY)
+    assert "PartitionFilters: [isnotnull(date" in log_days._jdf.queryExecution().toString()
+    empty = fresh_path(spark, "log")
+    _days(spark, "d").where(F.col("date") < DAY).write.partitionBy("date").parquet(empty)
+    daily.write_day_counts(spark, empty, counted, DAY, DAY)
+    assert DAY not in by(daily.read_day_counts(spark, counted).select("date").distinct(), "date")
+    levels = by(daily.by_level(daily.read_day_counts(spark, counted)), "level", "ad_id")
+    assert sum(r["sessions"] for (level, _), r in levels.items() if level == "axid") == 4 + 2 * 4
