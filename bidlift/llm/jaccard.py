@@ -26,11 +26,13 @@ give a row each. No rows give no rows. Only the id and the text are read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,7 @@ from .common import arrow_rows, materialize, unwrapped, whole_text, wrapped
 WORDS, PERCENT = 3, 90
 MEMBERS, QUERIES = 512, 2048
 SLOTS, CHUNKS = 1 << 21, 32
+PARTS = 256  # of the first level in which counters are added
 U = np.uint64
 MIX = U(0xD6E8FEB86659FD93)
 MOST_WORDS = 400_000
@@ -96,45 +99,64 @@ def _class_id(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def counters(docs: DataFrame, words: int) -> np.ndarray:
-    """How often each slot's shingles occur: a table of fixed size, added up from one partial table a task."""
+PACKED = "bucket int, payload binary"
+INDEX = "doc_id bigint, rk bigint, cid binary, n bigint"
+COUNTED = f"{INDEX}, chunk int, part int, seen binary"
+
+
+def index(docs: DataFrame, words: int) -> DataFrame:
+    """In one pass, (doc_id, rk, cid, n), the class and set size of every row, and a task's table of counters.
+
+    The counters are rows with a ``chunk``: how often the task's shingles fall
+    into each slot of the chunk, compressed, under one of ``PARTS`` numbers.
+    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in COUNTED.split(", ")]
         seen = np.zeros(SLOTS, np.int64)
-        for _, sets in _sets(batches, words):
+        for batch, sets in _sets(batches, words):
             for s in sets:
                 np.add.at(seen, (s & U(SLOTS - 1)).astype(np.int64), 1)
-        parts = np.minimum(seen, (1 << 31) - 1).astype("<i4").reshape(CHUNKS, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([p.tobytes() for p in parts])], ["chunk", "seen"])
+            size = len(sets)
+            columns = [
+                batch.column("doc_id"), batch.column("rk"), pa.array([_class_id(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names)
+        part = TaskContext.get().partitionId() % PARTS
+        data = [_counters_out(p) for p in seen.reshape(CHUNKS, -1)]
+        none = [pa.nulls(CHUNKS, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.int64())]
+        yield pa.RecordBatch.from_arrays(
+            [*none, pa.array(range(CHUNKS), pa.int32()), pa.array([part] * CHUNKS, pa.int32()), pa.array(data, pa.binary())], names
+        )
 
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b, "<i4").astype(np.int64) for b in table.column("seen").to_pylist())
-        data = np.minimum(total, (1 << 31) - 1).astype("<i4").tobytes()
-        return pa.table({"chunk": table.column("chunk")[:1], "seen": pa.array([data])})
+    return docs.mapInArrow(make, COUNTED)
 
-    schema = "chunk int, seen binary"
-    rows = docs.select("text").mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema).collect()  # CHUNKS rows, 4 * SLOTS bytes
-    out = np.zeros((CHUNKS, SLOTS // CHUNKS), np.int32)
-    for r in rows:
-        out[r["chunk"]] = np.frombuffer(r["seen"], "<i4")
-    return out.ravel()
 
+def _counters_out(counts: np.ndarray) -> bytes:
+    return zlib.compress(np.minimum(counts, (1 << 31) - 1).astype("<i4").tobytes(), 1)
 
-PACKED = "bucket int, payload binary"
-INDEX = "doc_id bigint, rk bigint, cid binary, n bigint"
 
+def _counters_in(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), "<i4").astype(np.int64)
 
-def index(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, rk, cid, n): the class and set size of every row."""
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in _sets(batches, words):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("rk"), pa.array([_class_id(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64())],
-                ["doc_id", "rk", "cid", "n"],
-            )
+def counters(counted: DataFrame) -> np.ndarray:
+    """How often each slot's shingles occur: a table of fixed size, added up in two levels, so that no group grows with the tasks alone."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(SLOTS // CHUNKS, np.int64)
+        for data in table.column("seen"):
+            total += _counters_in(data.as_py())
+        return pa.table({"chunk": table.column("chunk")[:1], "seen": pa.array([_counters_out(total)], pa.binary())})
 
-    return docs.mapInArrow(make, INDEX)
+    schema = "chunk int, seen binary"
+    parts = counted.where(F.col("chunk").isNotNull()).select("chunk", "part", "seen")
+    sums = parts.groupBy("chunk", "part").applyInArrow(add, schema).groupBy("chunk").applyInArrow(add, schema)
+    out = np.zeros((CHUNKS, SLOTS // CHUNKS), np.int32)
+    for r in sums.collect():  # CHUNKS rows, 4 * SLOTS bytes at most
+        out[r["chunk"]] = _counters_in(r["seen"])
+    return out.ravel()
 
 
 def prefixes(docs: DataFrame, seen, words: int, percent: int, buckets: int) -> DataFrame:
@@ -334,8 +356,9 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     arrow_rows(spark, 1000)
     rows = docs.select(F.col(id).cast("bigint").alias("doc_id"), whole_text(text).alias("text"))
     rows = rows.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
-    seen = spark.sparkContext.broadcast(counters(rows, words))
-    known = materialize(index(rows, words), "index")
+    counted = materialize(index(rows, words), "index")
+    known = counted.where(F.col("chunk").isNull()).select("doc_id", "rk", "cid", "n")
+    seen = spark.sparkContext.broadcast(counters(counted))
     shared = materialize(shared_tokens(prefixes(rows, seen, words, percent, buckets)), "shared")
     asked = materialize(requests(shared, percent), "asked")
     classes = materialize(known.groupBy("cid").agg(F.min("doc_id").alias("least"), F.min("rk").alias("rk")), "classes")
