@@ -32,6 +32,7 @@ from .common import arrow_rows, materialize, whole_text, wrapped
 
 SENTENCE = re.compile(r"\S.*?(?:(?<=[.!?])(?=\s)|(?=\n)|\Z)\s*", re.S)
 LEAST_SENTENCES, LEAST_WORDS = 2, 20
+HOT, SALTS = 1000, 64
 LOW = (1 << 32) - 1
 
 
@@ -89,16 +90,30 @@ def spans(docs: DataFrame, least: int = LEAST_SENTENCES, words: int = LEAST_WORD
 
 
 def removals(found: DataFrame) -> DataFrame:
-    """(doc_id, key, cut): for each document that loses sentences, the runs that are not the first of their kind."""
+    """(doc_id, key, cut): for each document that loses sentences, the runs that are not the first of their kind.
+
+    Runs that hold a thousandth of all repeated places or more are at most a
+    thousand; these few are broadcast, and their places are spread over many
+    tasks before they meet the run's first place.
+    """
     place = F.struct("doc_id", "key", "run")
-    repeated = (
+    repeated = materialize(
         found.groupBy("high", "low")
-        .agg(F.min(place).alias("earliest"), F.max(place).alias("latest"))
+        .agg(F.min(place).alias("earliest"), F.max(place).alias("latest"), F.count(F.lit(1)).alias("n"))
         .where("earliest <> latest")
-        .select("high", "low", "earliest")
+        .select("high", "low", "earliest", "n"),
+        "repeated",
+    )
+    total = repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.col("n") * HOT >= F.lit(total)
+    known = F.broadcast(repeated.where(hot).select("high", "low", F.lit(True).alias("hot")))
+    dealt = found.join(known, ["high", "low"], "left").withColumn(
+        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "key", "run"), F.lit(SALTS)).cast("int")).otherwise(0)
     )
-    # Always by a shuffle: the number of repeated runs grows with the documents. A hot run is split by adaptive execution.
-    later = found.join(repeated.hint("merge"), ["high", "low"]).where(place != F.col("earliest"))
+    salts = F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    firsts = repeated.select("high", "low", "earliest", F.explode(salts).alias("salt"))
+    # Always by a shuffle: the number of repeated runs grows with the documents.
+    later = dealt.join(firsts.hint("merge"), ["high", "low", "salt"]).where(place != F.col("earliest"))
     return later.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set("run")).alias("cut"))
 
 
