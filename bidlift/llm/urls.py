@@ -74,12 +74,12 @@ def url_tokens(url: Column) -> Column:
     return F.coalesce(F.when(F.instr(url, "://") > 0, tokens), none)
 
 
-def mine_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+def mine_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, least: int = LEAST_PAGES) -> DataFrame:
     """(rule_id, tokens, confidence, support) of the rules that say bad.
 
     ``pages`` (page_id, url); ``labels`` (doc_id, quality, toxic) are joined by
     id. A page is bad if a label says quality 0 or toxic 1. A rule needs
-    ``support`` of the labelled pages and ``LEAST_PAGES`` of them.
+    ``support`` of the labelled pages and ``least`` of them.
     """
     bad = labels.groupBy(F.col("doc_id").alias("page_id")).agg(
         F.max(((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int")).alias("bad")
@@ -87,7 +87,7 @@ def mine_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, co
     known = pages.join(bad, "page_id").select(url_tokens(F.col("url")).alias("tokens"), "bad").where(F.size("tokens") > 0)
     baskets = known.select(F.when(F.col("bad") == 1, F.array_append("tokens", BAD)).otherwise(F.col("tokens")).alias("items"))
     baskets = materialize(baskets, "baskets")
-    share = min(1.0, max(support, LEAST_PAGES / max(1, baskets.count())))
+    share = min(1.0, max(support, least / max(1, baskets.count())))
     model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(baskets)
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
     return rules.select(
@@ -105,10 +105,10 @@ def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return met.where(F.col("n") == F.col("all")).select("url", "rule_id")
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, id: str = "page_id", url: str = "url") -> DataFrame:
+def judge_urls(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, least: int = LEAST_PAGES, id: str = "page_id", url: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict of every page row, and how many mined rules it meets."""
     pages = pages.select(F.col(id).alias("page_id"), F.col(url).alias("url"))
-    rules = materialize(mine_rules(pages, labels, support, confidence), "rules")
+    rules = materialize(mine_rules(pages, labels, support, confidence, least), "rules")
     urls = pages.where(F.col("url").isNotNull()).select("url").distinct()
     bad = match_rules(urls, rules).groupBy("url").agg(F.count(F.lit(1)).alias("n_mined"))
     host, path = host_and_path(F.col("url"))

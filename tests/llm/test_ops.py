@@ -449,6 +449,38 @@ def test_url_rules_are_mined_and_matched(spark):
     assert got[396].verdict == "block" and got[397].verdict == "allow"
 
 
+def all_rules(baskets, least, confidence):
+    """Every set of tokens that enough baskets hold and that says bad often enough, counted one by one."""
+    from itertools import combinations
+
+    held, bad = Counter(), Counter()
+    for tokens, is_bad in baskets:
+        for k in range(1, len(tokens) + 1):
+            for subset in combinations(sorted(tokens), k):
+                held[subset] += 1
+                bad[subset] += is_bad
+    return {s: bad[s] / n for s, n in held.items() if bad[s] >= least and bad[s] >= confidence * n}
+
+
+def test_mined_rules_are_all_rules(spark):
+    """No rule is missed or invented: made-up pages with ties, and the given pages at parameters at which rules appear."""
+    rows = [(i, f"http://{'ab'[i % 2]}{i % 3}.net/p{'q' * (i % 5 == 0)}/x") for i in range(90)] + [(1000, None), (1001, "no scheme")]
+    made = spark.createDataFrame(rows, "page_id bigint, url string")
+    marks = spark.createDataFrame([(i, int(i % 6 not in (0, 3)), None) for i in range(92)], "doc_id bigint, quality int, toxic int")
+    cases = [(made, marks, 4, 0.6), (small(spark, "pages"), small(spark, "labels"), 2, 0.3)]
+    for pages, labels, least, confidence in cases:
+        known = pages.join(labels, pages.page_id == labels.doc_id).select(
+            "page_id", urls.url_tokens(pages.url).alias("t"), ((labels.quality == 0) | (labels.toxic == 1)).alias("bad")
+        ).where("size(t) > 0").collect()
+        worst = {}
+        for r in known:
+            worst.setdefault(r.page_id, [set(r.t), False])[1] |= bool(r.bad)
+        want = all_rules([(t, b) for t, b in worst.values()], least, confidence)
+        got = {tuple(r.tokens): r.confidence for r in urls.mine_rules(pages, labels, 0.0, confidence, least).collect()}
+        assert set(got) == set(want) and all(got[k] == pytest.approx(v) for k, v in want.items())
+        assert got
+
+
 def urls_tokens(url):
     host = url.split("://")[1].split("/")[0]
     return [f"host={host}", "host=net", f"sub={host.split('.')[0]}", "path=p", "path=0", "ending=", "scheme=http"]
