@@ -89,34 +89,40 @@ c AS (
          len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words
   FROM d JOIN w USING (r) LEFT JOIN rep USING (r)
 ), m AS (
-  SELECT *, 1000 * n_symbols // greatest(word_chars, 1) AS v1, 1000 * n_dup_lines // greatest(n_lines, 1) AS v2,
-         1000 * n_repeat_words // greatest(n_words, 1) AS v3, 10 * word_chars // greatest(n_words, 1) AS v4
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         CAST(floor(1000 * greatest(n_symbols - 3 * sqrt(n_symbols), 0) / greatest(word_chars, 1)) AS BIGINT) AS v1,
+         CAST(floor(1000 * greatest(n_dup_lines - 3 * sqrt(n_dup_lines), 0) / greatest(n_lines, 1)) AS BIGINT) AS v2,
+         CAST(floor(1000 * greatest(n_repeat_words - 3 * sqrt(n_repeat_words), 0) / greatest(n_words, 1)) AS BIGINT) AS v3,
+         CAST(10 * word_chars // greatest(n_words, 1) AS BIGINT) AS v4
   FROM c
 ), u AS (
-  SELECT lang, source, unnest([1, 2, 3, 4]) AS m, unnest([v1, v2, v3, v4]) AS v FROM m
+  SELECT lang, source, unnest([1, 2, 3, 4]) AS m, unnest([v1, v2, v3, v4]) AS v FROM m WHERE NOT base_failed
 ), sk AS (
-  SELECT lang, source, m, CAST(((v >> greatest(length(bin(CAST(v AS BIGINT))) - 5, 0)) << greatest(length(bin(CAST(v AS BIGINT))) - 5, 0)) AS BIGINT) AS v, count(*) AS n
-  FROM (SELECT lang, source, m, CAST(v AS BIGINT) AS v FROM u) GROUP BY ALL
+  SELECT lang, source, m, ((v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0)) AS v, count(*) AS n
+  FROM u GROUP BY ALL
 ), lv AS (SELECT lang, m, v, sum(n) AS ln FROM sk GROUP BY ALL),
 lt AS (SELECT lang, m, sum(n) AS lt FROM sk GROUP BY ALL),
 g AS (SELECT lang, source, m, sum(n) AS gt FROM sk GROUP BY ALL),
 mix AS (
-  SELECT lang, source, m, v, coalesce(n, 0) * lt + 20 * ln AS w, (gt + 20) * lt AS total
+  SELECT lang, source, m, v, coalesce(n, 0) * lt + 20 * ln AS w, (gt + 20) * lt AS total, CASE m WHEN 1 THEN 75 ELSE 98 END AS level
   FROM g JOIN lv USING (lang, m) JOIN lt USING (lang, m) LEFT JOIN sk USING (lang, source, m, v)
 ), q AS (
-  SELECT lang, source, m, min(v) FILTER (WHERE 4 * cum >= total) AS q1, min(v) FILTER (WHERE 4 * cum >= 3 * total) AS q3
+  SELECT lang, source, m, min(v) FILTER (WHERE 100 * cum >= (100 - level) * total) AS low,
+         min(v) FILTER (WHERE 100 * cum >= 50 * total) AS median, min(v) FILTER (WHERE 100 * cum >= level * total) AS high
   FROM (SELECT *, sum(w) OVER (PARTITION BY lang, source, m ORDER BY v) AS cum FROM mix) GROUP BY ALL
 ), t AS (
-  SELECT lang, source,
-         max(q3 + greatest(3 * (q3 - q1), 50)) FILTER (WHERE m = 1) AS h1, max(q3 + greatest(3 * (q3 - q1), 400)) FILTER (WHERE m = 2) AS h2,
-         max(q3 + greatest(3 * (q3 - q1), 300)) FILTER (WHERE m = 3) AS h3, max(q3 + greatest(3 * (q3 - q1), 15)) FILTER (WHERE m = 4) AS h4,
-         max(q1 - greatest(3 * (q3 - q1), 15)) FILTER (WHERE m = 4) AS l4
-  FROM q GROUP BY ALL
-), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+  SELECT lang, source, max(above) FILTER (WHERE m = 1) AS h1, max(above) FILTER (WHERE m = 2) AS h2, max(above) FILTER (WHERE m = 3) AS h3,
+         max(above) FILTER (WHERE m = 4) AS h4, max(below) FILTER (WHERE m = 4) AS l4
+  FROM (
+    SELECT *, high + greatest(3 * (high - median), CAST(2 ** greatest(length(bin(high)) - 5, 0) AS BIGINT)) AS above,
+           low - greatest(3 * (median - low), CAST(2 ** greatest(length(bin(low)) - 5, 0) AS BIGINT)) AS below
+    FROM q
+  ) GROUP BY ALL
+)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
        NOT base_failed AND v1 <= h1 AND v2 <= h2 AND v3 <= h3 AND v4 <= h4 AND v4 >= l4 AS kept
-FROM b JOIN t USING (lang, source)
+FROM m LEFT JOIN t USING (lang, source)
 """
 
 

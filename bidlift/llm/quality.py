@@ -2,16 +2,22 @@
 
 Every document gives four whole-number measures: symbols per 1000 word
 characters, repeated lines per 1000 lines, words in repeated three-word windows
-per 1000 words, and characters per 10 words. A sketch counts a measure's values
-in buckets of at most 1/32 relative width, so that sketches merge by adding
-counts, in any order, and its size depends on the range of values only.
+per 1000 words, and characters per 10 words. The first three take their counts
+less three standard deviations (three roots of the count), nought at least, so
+that a chance symbol or line in a short text is no fault. A sketch counts a
+measure's values in buckets of at most 1/32 relative width, so that sketches
+merge by adding counts, in any order, and its size depends on the range of
+values only. Sketches hold the documents that the base rules pass: under 50
+words, or more than half of the words in repeated windows, fails beforehand.
 
 Each (language, source) group is merged with the sketch of its language, scaled
 to ``prior`` documents, so that small groups lean on their language without any
-switch of rule. With quartiles q1 and q3 of that mixture, a document fails
-above q3 + max(3 * (q3 - q1), slack), or for word length also below q1 - the
-same. Fixed base rules come first: under 50 words, or more than half of the
-words in repeated windows.
+switch of rule. A threshold comes from that mixture alone: with its median and
+its quantile at the measure's level, a document fails above
+quantile + reach * (quantile - median), and for word length also below the
+mirror image. Where quantile and median are one, the room is one bucket of the
+sketch. A level states which share of a group's documents a measure may find
+faulty, not a value of the measure.
 
 Defined results: a NULL text has no words and fails. NULL languages and sources
 form the group of the empty string. Repeated rows count each. No rows give no
@@ -33,9 +39,9 @@ from .common import arrow_rows, materialize, unwrapped, wrapped
 
 SYMBOL = re.compile(r"[#*$%&|<>]")  # fixed value
 SPACES = " \t\n\x0b\x0c\r"
-LEAST_WORDS, PRIOR, REACH = 50, 20, 3
-# Measure: least distance of the threshold from the quartile, and whether low values fail too.
-MEASURES = {"symbols": (50, False), "dup_lines": (400, False), "repeats": (300, False), "word_length": (15, True)}
+LEAST_WORDS, PRIOR, REACH, DEVIATIONS = 50, 20, 3, 3
+# Measure: level of its quantile in percent, and whether low values fail too.
+MEASURES = {"symbols": (75, False), "dup_lines": (98, False), "repeats": (98, False), "word_length": (98, True)}
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 STATS = "struct<" + ",".join(f"{c}:bigint" for c in COUNTS) + ">"
 
@@ -76,29 +82,38 @@ def with_counts(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
 def measures(c: Column) -> dict[str, Column]:
     """Whole-number measures of a struct of counts."""
 
-    def per(scale: int, a: str, b: str) -> Column:
-        return F.floor(F.try_divide(F.lit(scale) * c[a], F.greatest(c[b], F.lit(1)))).cast("bigint")
+    def per(scale: int, count: Column, size: str) -> Column:
+        return F.floor(F.try_divide(F.lit(scale) * count, F.greatest(c[size], F.lit(1)))).cast("bigint")
+
+    def sure(name: str) -> Column:
+        return F.greatest(c[name] - DEVIATIONS * F.sqrt(c[name]), F.lit(0.0))
 
     return {
-        "symbols": per(1000, "n_symbols", "word_chars"),
-        "dup_lines": per(1000, "n_dup_lines", "n_lines"),
-        "repeats": per(1000, "n_repeat_words", "n_words"),
-        "word_length": per(10, "word_chars", "n_words"),
+        "symbols": per(1000, sure("n_symbols"), "word_chars"),
+        "dup_lines": per(1000, sure("n_dup_lines"), "n_lines"),
+        "repeats": per(1000, sure("n_repeat_words"), "n_words"),
+        "word_length": per(10, c["word_chars"], "n_words"),
     }
 
 
 def bucket(value: Column) -> Column:
     """The least value of the bucket: all but the five leading bits are cleared."""
-    cut = F.greatest(F.length(F.bin(value)) - 5, F.lit(0))
-    return F.floor(value / F.pow(F.lit(2.0), cut)).cast("bigint") * F.pow(F.lit(2.0), cut).cast("bigint")
+    step = width(value)
+    return F.floor(value / step).cast("bigint") * step
+
+
+def width(value: Column) -> Column:
+    """The width of the value's bucket, a power of two."""
+    return F.pow(F.lit(2.0), F.greatest(F.length(F.bin(value)) - 5, F.lit(0))).cast("bigint")
 
 
 def sketches(counted: DataFrame, counts: str = "counts", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, measure, value, n): the sketch of every group and measure."""
+    """(lang, source, measure, value, n): the sketch of every group and measure, over the rows that pass the base rules."""
     values = measures(F.col(counts))
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("measure"), bucket(v).alias("value")) for k, v in values.items()]))
     return (
-        counted.select(group(lang).alias("lang"), group(source).alias("source"), pairs.alias("m"))
+        counted.where(~base_failed(F.col(counts)))
+        .select(group(lang).alias("lang"), group(source).alias("source"), pairs.alias("m"))
         .groupBy("lang", "source", F.col("m.measure").alias("measure"), F.col("m.value").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -125,18 +140,22 @@ def thresholds(sketch: DataFrame, prior: int = PRIOR, reach: int = REACH) -> Dat
     )
     upto = Window.partitionBy("lang", "source", "measure").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     run = mixed.withColumn("cum", F.sum("w").over(upto))
-    quartiles = run.groupBy("lang", "source", "measure").agg(
-        F.min(F.when(4 * F.col("cum") >= F.col("total"), F.col("value"))).alias("q1"),
-        F.min(F.when(4 * F.col("cum") >= 3 * F.col("total"), F.col("value"))).alias("q3"),
+    level = F.create_map(*[F.lit(v) for name, (percent, _) in MEASURES.items() for v in (name, percent)])[F.col("measure")]
+
+    def least(percent: Column) -> Column:
+        return F.min(F.when(100 * F.col("cum") >= percent * F.col("total"), F.col("value")))
+
+    quantiles = run.withColumn("level", level).groupBy("lang", "source", "measure").agg(
+        least(100 - F.col("level")).alias("low"), least(F.lit(50)).alias("median"), least(F.col("level")).alias("high")
     )
+    above = F.col("high") + F.greatest(reach * (F.col("high") - F.col("median")), width(F.col("high")))
+    below = F.col("low") - F.greatest(reach * (F.col("median") - F.col("low")), width(F.col("low")))
     out = []
-    for name, (slack, both) in MEASURES.items():
-        mine = F.col("measure") == name
-        room = F.greatest(reach * (F.col("q3") - F.col("q1")), F.lit(slack))
-        out.append(F.max(F.when(mine, F.col("q3") + room)).alias(f"high_{name}"))
+    for name, (_, both) in MEASURES.items():
+        out.append(F.max(F.when(F.col("measure") == name, above)).alias(f"high_{name}"))
         if both:
-            out.append(F.max(F.when(mine, F.col("q1") - room)).alias(f"low_{name}"))
-    return quartiles.groupBy("lang", "source").agg(*out)
+            out.append(F.max(F.when(F.col("measure") == name, below)).alias(f"low_{name}"))
+    return quantiles.groupBy("lang", "source").agg(*out)
 
 
 def base_failed(c: Column) -> Column:
@@ -144,7 +163,10 @@ def base_failed(c: Column) -> Column:
 
 
 def judged(counted: DataFrame, limits: DataFrame, counts: str = "counts", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``counted`` with ``base_failed`` and ``kept``; ``limits`` is the written table of thresholds."""
+    """``counted`` with ``base_failed`` and ``kept``; ``limits`` is the written table of thresholds.
+
+    A group whose documents all fail the base rules has no thresholds and needs none.
+    """
     limits = limits.select(*[F.col(c).alias(f"_limit_{c}") for c in limits.columns])
     joined = counted.join(
         limits, (group(lang) == F.col("_limit_lang")) & (group(source) == F.col("_limit_source")), "left"

@@ -392,6 +392,42 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert got[102].base_failed and not got[101].base_failed
 
 
+def test_thresholds_follow_each_source(spark):
+    """Every measure's threshold is its own source's: what is usual in one fails in the other."""
+    import random
+
+    rng = random.Random(5)
+    # Documents, symbols, repeated lines, repeated words, letters a word.
+    sources = {"plain": (450, 0, 0, 0, 5), "noisy": (150, 60, 300, 200, 9)}
+    texts, at = [], 0
+
+    def document(symbols, dups, repeats, letters):
+        word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(letters + rng.randint(-1, 1)))
+        lines = [" ".join(word() for _ in range(4)) for _ in range(100)]
+        for i in rng.sample(range(50, 100), dups * rng.randint(50, 100) // 1000):
+            lines[i] = lines[i - 50][:7]
+            lines[i - 50] = lines[i]
+        said = [word() for _ in range(3)]
+        lines += [" ".join(said) + " " + word() for _ in range(repeats * rng.randint(50, 100) // 500)]
+        return "\n".join(lines) + " " + " ".join("#" * (symbols * rng.randint(50, 100) // 100) for _ in range(2))
+
+    for source, kind in sources.items():
+        for _ in range(kind[0]):
+            texts.append((at, document(*kind[1:]), "en", source))
+            at += 1
+    strangers = [(1000, document(60, 0, 0, 5)), (1001, document(0, 0, 0, 9)), (1002, document(0, 0, 200, 5)), (1003, document(0, 300, 0, 5))]
+    texts += [(i, t, "en", "plain") for i, t in strangers]
+    rows = spark.createDataFrame(texts, "doc_id bigint, text string, lang string, source string")
+    # A small weight of the language: these groups are too few and small to outweigh 20 documents of it at the 98 % level.
+    limits = {r.source: r for r in quality.thresholds(quality.sketches(quality.with_counts(rows, "counts")), prior=2).collect()}
+    for name, (_, both) in quality.MEASURES.items():
+        assert limits["noisy"][f"high_{name}"] > limits["plain"][f"high_{name}"], name
+        assert not both or limits["noisy"][f"low_{name}"] > limits["plain"][f"low_{name}"], name
+    got = {r.doc_id: r.kept for r in quality.score_documents(rows).collect()}
+    assert not any(got[i] for i in range(1000, 1004)), got
+    assert sum(got[i] for i in range(600)) >= 588
+
+
 def test_quality_on_awkward_documents(docs, none):
     rows = quality.score_documents(docs).collect()
     assert len(rows) == len(TEXTS) and all(r.kept is not None for r in rows)
