@@ -6,8 +6,11 @@ The histogram of piece lengths has at most ``width`` rows, whatever the data.
 All patterns of one to three lengths that fill a sequence are enumerated, the
 number of times each is used is fitted to the histogram by non-negative least
 squares (coordinate descent from nought, pairs before triples, which leaves
-few patterns in use), rounded, and bounded by what is there. What remains is
-packed best-fit decreasing, also on the histogram. The result is a table of
+few patterns in use, until no count moves by a thousandth of the largest),
+rounded down, and bounded by what is there. What remains is packed best-fit
+decreasing, also on the histogram. Triples can take short pieces that long ones
+need later, so the plan is made with patterns of up to three, two, one and no
+lengths, and the one with the fewest sequences holds. The result is a table of
 runs: ranks [a, b) among the pieces of one length lie at one offset in
 consecutive sequences. Pieces are ranked within their length by a two-step
 count, so a length that a third of all pieces share is spread over many tasks.
@@ -33,7 +36,7 @@ from .tokens import ARROW_ROWS, encoder, groups
 
 WIDTH = 1024
 END = 2
-SWEEPS = 12
+SWEEPS = 100  # a guard: the descent ends by itself
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, spread bigint"
 
 
@@ -96,6 +99,7 @@ def fit(shapes: list[tuple[int, ...]], count: dict[int, int], width: int) -> np.
     x = [0.0] * len(shapes)
     weights = [[(n, s.count(n)) for n in dict.fromkeys(s)] for s in shapes]
     norms = [float(sum(k * k for _, k in w)) for w in weights]
+    still = max(0.25, max(count.values(), default=0) / 1000)
     for _ in range(SWEEPS):
         moved = 0.0
         for j, w in enumerate(weights):
@@ -106,18 +110,26 @@ def fit(shapes: list[tuple[int, ...]], count: dict[int, int], width: int) -> np.
                 moved = max(moved, abs(step))
                 for n, k in w:
                     rest[n] -= k * step
-        if moved < 0.25:
+        if moved <= still:
             break
     return np.array(x)
 
 
-def plan(count: dict[int, int], width: int = WIDTH) -> tuple[list[tuple[int, int, int, int, int]], int]:
+Runs = list[tuple[int, int, int, int, int]]
+
+
+def plan(count: dict[int, int], width: int = WIDTH) -> tuple[Runs, int]:
     """Runs (length, first rank, number, first sequence, offset) for a histogram, and the number of sequences.
 
     The work depends on the number of different lengths, not on the counts.
     """
+    return min((plan_with(count, width, most) for most in (3, 2, 1, 0)), key=lambda p: p[1])
+
+
+def plan_with(count: dict[int, int], width: int, most: int) -> tuple[Runs, int]:
+    """The plan with patterns of up to ``most`` lengths."""
     left, taken = dict(count), {n: 0 for n in count}
-    runs: list[tuple[int, int, int, int, int]] = []
+    runs: Runs = []
     sequences = 0
 
     def take(length: int, number: int, sequence: int, offset: int) -> None:
@@ -125,11 +137,11 @@ def plan(count: dict[int, int], width: int = WIDTH) -> tuple[list[tuple[int, int
         taken[length] += number
         left[length] -= number
 
-    shapes = patterns([n for n in count if count[n]], width)
+    shapes = [s for s in patterns([n for n in count if count[n]], width) if len(s) <= most]
     x = fit(shapes, count, width)
     for j in np.argsort(-x, kind="stable").tolist():
-        most = min(left[n] // shapes[j].count(n) for n in shapes[j])
-        number = min(int(x[j] + 0.5), most)
+        there = min(left[n] // shapes[j].count(n) for n in shapes[j])
+        number = min(int(x[j] + 1e-9), there)
         if number <= 0:
             continue
         offset = 0
