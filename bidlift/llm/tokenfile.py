@@ -4,8 +4,9 @@ A file holds segments, one a row of a Parquet container, so that Spark's own
 writers commit it on any store and a lost task is simply run again. A segment
 holds whole documents up to about ``SEGMENT`` ids (a longer document has its
 own): their ids and lengths, and the ids of all of them in blocks of ``BLOCK``.
-Every block starts from a reset model and carries its number of ids and the
-CRC-32 of them, which is checked on reading, so any block can be read alone.
+Its ``prior`` states how frequent ids are in it (some kilobytes). Every block
+starts from a model reset to that and carries its number of ids and the CRC-32
+of them, which is checked on reading, so any block can be read alone.
 Documents are range-partitioned by id, so segments stand in ascending order.
 
 Defined results: a NULL or empty text is the end id alone. NULL ids come first,
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .coder import decode_blocks, encode_blocks
+from .coder import decode_blocks, encode_blocks, make_prior
 from .common import arrow_rows, fresh_path, materialize, whole_text
 from .tokens import ARROW_ROWS, encoder, groups
 
@@ -34,7 +35,7 @@ BLOCK, SEGMENT = 2048, 6_000_000
 CLASSES = 193  # high bytes of the vocabulary's ids
 FILE = (
     "part int, segment bigint, doc_ids array<bigint>, n_tokens array<bigint>, "
-    "counts array<bigint>, checks array<bigint>, blocks array<binary>"
+    "counts array<bigint>, checks array<bigint>, blocks array<binary>, prior binary"
 )
 INDEX = "part int, segment bigint, at bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -48,14 +49,15 @@ def write_token_file(docs: DataFrame, path: str, end: int = END, tokenizer: str
     vocabulary = tokenizer or public_tokenizers.path("word_bpe_49k.json")
 
     def packed(number: int, keys: list, sizes: list[int], ids: list[np.ndarray]) -> pa.RecordBatch:
-        whole = np.concatenate(ids)
+        whole = np.concatenate(ids).astype(np.int64)
+        prior = make_prior(whole, classes)
         counts = [min(block, len(whole) - i) for i in range(0, len(whole), block)]
         row = {
             "segment": number, "doc_ids": keys, "n_tokens": sizes, "counts": counts,
             "checks": [_crc(whole[i : i + block]) for i in range(0, len(whole), block)],
-            "blocks": encode_blocks(whole.astype(np.int64), block, classes),
+            "blocks": encode_blocks(whole, block, classes, prior), "prior": prior,
         }
-        kinds = {"segment": pa.int64(), "blocks": pa.list_(pa.binary())}
+        kinds = {"segment": pa.int64(), "blocks": pa.list_(pa.binary()), "prior": pa.binary()}
         return pa.RecordBatch.from_arrays(
             [pa.array([v], kinds.get(k, pa.list_(pa.int64()))) for k, v in row.items()], list(row)
         )
@@ -94,7 +96,7 @@ def read_token_file(spark: SparkSession, path: str, classes: int = CLASSES, with
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                parts = decode_blocks(row["blocks"], row["counts"], classes)
+                parts = decode_blocks(row["blocks"], row["counts"], classes, row["prior"])
                 for k, (ids, check) in enumerate(zip(parts, row["checks"])):
                     if _crc(ids) != check:
                         raise ValueError(f"block {k} of segment {row['segment']} of part {row['part']} is damaged")

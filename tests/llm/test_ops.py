@@ -171,6 +171,21 @@ def test_plan_uses_every_piece_once(count):
     assert -(-total // 1024) <= sequences <= 1.25 * total / 1024 + 1
 
 
+def test_plan_is_never_above_best_fit_alone():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    many = {
+        "even": rng.integers(1, 1025, 30_000), "middle": rng.integers(300, 701, 20_000), "few": rng.choice([700, 450, 333, 310, 120], 9_000),
+        "skewed": np.clip(rng.lognormal(5, 1, 30_000).astype(int), 1, 1024), "hot": np.append(rng.integers(1, 1025, 500), np.full(5_000, 341)),
+    }
+    for name, lengths in many.items():
+        count = dict(Counter(lengths.tolist()))
+        assert packing.plan(count)[1] <= packing.plan_with(count, 1024, 0)[1], name
+    thirds = packing.plan({512: 10, 341: 20, 342: 10})
+    assert thirds[1] == 15  # five pairs and ten triples
+
+
 # suffixes
 
 
@@ -270,15 +285,33 @@ def test_coder_round_trip():
     rng = np.random.default_rng(1)
     for n, block in [(1, 8), (8, 8), (9, 8), (1000, 64)]:
         for ids in (rng.integers(0, 49408, n), rng.zipf(1.4, n) % 49408, np.full(n, 49407)):
-            coded = coder.encode_blocks(ids, block, 193)
-            counts = [min(block, n - i) for i in range(0, n, block)]
-            assert (np.concatenate(coder.decode_blocks(coded, counts, 193)) == ids).all()
-            # Blocks stand alone.
-            assert (coder.decode_blocks(coded[-1:], counts[-1:], 193)[0] == ids[sum(counts[:-1]) :]).all()
+            # No prior, the ids' own, and one that misleads.
+            for prior in (None, coder.make_prior(ids, 193), coder.make_prior(49407 - ids, 193)):
+                coded = coder.encode_blocks(ids, block, 193, prior)
+                counts = [min(block, n - i) for i in range(0, n, block)]
+                assert (np.concatenate(coder.decode_blocks(coded, counts, 193, prior)) == ids).all()
+                # Blocks stand alone.
+                assert (coder.decode_blocks(coded[-1:], counts[-1:], 193, prior)[0] == ids[sum(counts[:-1]) :]).all()
     many = np.tile(rng.integers(0, 49408, 50), 60)
     assert sum(map(len, coder.encode_blocks(many, 3000, 193))) < 1.0 * len(many)
 
 
+def test_coder_is_smaller_than_deflate(spark):
+    """On real ids, prior included, against deflate of each block and of all ids at once."""
+    import zlib
+
+    import numpy as np
+
+    enc = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [r.text or "" for r in small(spark).select("text").collect()]
+    ids = np.concatenate([np.array(e.ids + [1], np.int64) for e in enc.encode_batch(texts, add_special_tokens=False)])
+    prior = coder.make_prior(ids, 193)
+    size = len(prior) + sum(map(len, coder.encode_blocks(ids, tokenfile.BLOCK, 193, prior)))
+    plain = ids.astype("<u2")
+    assert size < 0.95 * len(zlib.compress(plain.tobytes(), 9))
+    assert size < 0.8 * sum(len(zlib.compress(plain[i : i + tokenfile.BLOCK].tobytes(), 9)) for i in range(0, len(ids), tokenfile.BLOCK))
+
+
 def test_token_file_round_trip(docs, none, spark):
     from bidlift.session import fresh_path
 
