@@ -15,10 +15,9 @@ from itertools import chain, repeat
 import numpy as np
 
 SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-MARK = "\x02"
 MOST_WORDS = 200_000
 CHARACTERS = 1_000_000
-AT_ONCE = 4096  # words encoded in one call: an encoding holds far more than its ids
+AT_ONCE = 512  # words encoded in one call: an encoding holds far more than its ids
 ARROW_ROWS = 500
 
 
@@ -40,7 +39,16 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
         self.lead = lead
-        self.mark = self.tokenizer.encode(" " + MARK, add_special_tokens=False).ids
+        normalizer = self.tokenizer.normalizer
+        self.normalize = normalizer.normalize_str if normalizer else str
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE) if special else None
+        # In a byte-level vocabulary a character stands for a byte, but for the sign of a word's end.
+        end = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, at in vocabulary.items():
+            self.width[at] = len(token.removesuffix(end))
         self.forget()
 
     def forget(self) -> None:
@@ -53,28 +61,32 @@ class WordEncoder:
         found: list[list[int]] = []
         for k in range(0, len(words), AT_ONCE):
             part = [w[1:] if w[:1] == " " else self.lead + w for w in words[k : k + AT_ONCE]]
-            found += [e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum())), size
 
     def _in_one(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """Words in one text, each followed by a mark, whose ids are then taken out."""
-        text = "".join([f"{self.lead or ' '}{w} {MARK}" for w in words])
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        marks = np.flatnonzero(ids == self.mark[-1])
-        if len(marks) != len(words):
+        """Words in one text, a space before each; the bytes that the ids stand for tell the words apart.
+
+        None where the ids do not stand for just the bytes of the words.
+        """
+        text = " " + " ".join(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        shown = self.normalize(text).split(" ")[1:]
+        if len(shown) != len(words):
             return None
-        ends = marks - (len(self.mark) - 1)
-        starts = np.concatenate([[0], marks[:-1] + 1])
-        inside = np.ones(len(ids), bool)
-        for k in range(len(self.mark)):
-            inside[marks - k] = False
-        return ids[inside], ends - starts
+        ends = np.cumsum(np.fromiter((len(w.encode()) for w in shown), np.int64, len(shown)) + len(self.lead))
+        reached = np.cumsum(self.width[ids])
+        last = np.minimum(np.searchsorted(reached, ends), len(reached) - 1)
+        if reached[-1] != ends[-1] or not np.array_equal(reached[last], ends):
+            return None
+        return ids, np.diff(last + 1, prepend=0)
 
     def _learn(self, words: list[str]) -> None:
         plain, other = [], []
         for w in words:
-            (plain if w.isprintable() and w and " " not in w else other).append(w)
+            usual = w.isprintable() and w and " " not in w and not (self.special and self.special.search(w))
+            (plain if usual else other).append(w)
         parts = []
         for k in range(0, len(plain), AT_ONCE):
             some = plain[k : k + AT_ONCE]

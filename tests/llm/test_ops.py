@@ -137,6 +137,22 @@ def test_special_strings_are_encoded_as_the_library_does(name, lead, plain):
     assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
 
 
+@pytest.mark.parametrize("name,lead", [("byte_bpe_50k.json", " "), ("word_bpe_49k.json", "")])
+def test_words_are_told_apart_by_their_bytes(name, lead):
+    """Signs that a normalizer changes, joins or drops, and text that looks like the sign of a word's end."""
+    import random
+
+    from bidlift.llm.tokens import WordEncoder
+
+    rnd = random.Random(5)
+    signs = ["a", "B", "é", "e\u0301", "\u0301", "İ", "ß", "ﬁ", "각", "가\u11a8", "😀", "1", "²", " ", "  ", "\n", "\u00a0", "\u200b", "'s", "</w>", "<", "|", ".", "\x02", "\u212b", "ẛ̣"]
+    texts = ["".join(rnd.choices(signs, k=rnd.randrange(30))) for _ in range(5000)]
+    enc = Tokenizer.from_file(public_tokenizers.path(name))
+    want = [enc.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, sizes = WordEncoder(public_tokenizers.path(name), lead).encode(texts)
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
 def test_special_strings_in_packing_and_token_files(spark):
     docs = documents(spark, list(enumerate(SPECIAL)))
     for name, end, rows in (
