@@ -636,6 +636,16 @@ def score_saved_models(spark, sf):
     )
 
 
+def score_stored_buckets(spark, sf):
+    """Score tables published in buckets; of them only keys of a thousandth of all uses or requests are broadcast."""
+    meta, routes, default = _routing(spark, sf)
+    root = fresh_path(spark, "models")
+    scoring.save_models(_smoothed_models(spark, sf, meta), meta, root, "2001-12-01_00-00-00", broadcast_rows=0)
+    models, meta = scoring.load_models(spark, root)
+    correction = B.bid_correction(spark, sf)
+    return _priced(scoring.score_requests(B.bid_log(spark, sf), models, routes, default, meta, correction, max_rows=1000))
+
+
 def score_requests(spark, sf):
     meta, routes, default = _routing(spark, sf)
     models = _smoothed_models(spark, sf, meta)
@@ -984,6 +994,7 @@ QUERIES: dict[str, Query] = {
     "bid_price": bid_price,
     "score_requests": score_requests,
     "score_saved_models": score_saved_models,
+    "score_stored_buckets": score_stored_buckets,
     "cross_auc": cross_auc,
     "cross_auc_given": cross_auc_given,
     "calibration_holds": calibration_holds,

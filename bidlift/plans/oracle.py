@@ -566,6 +566,7 @@ LEFT JOIN best b ON b.adid = m.adid""",
 requests AS (SELECT row_key, axid, use_model, row_seq % 997 / 997.0::DOUBLE AS p FROM core JOIN routes USING (axid)) {_PRICED}""",
     "score_requests": f"WITH {_REQUESTS} {_PRICED}",
     "score_saved_models": f"WITH {_REQUESTS} {_PRICED}",
+    "score_stored_buckets": f"WITH {_REQUESTS} {_PRICED}",
     "model_meta": f"""WITH {_CORE}, {_META} SELECT * REPLACE (round(bid_constant, 4) AS bid_constant,
   round(CASE WHEN era = 'new' THEN test_auc - 0.25 ELSE test_auc END, 6) AS test_auc,
   CASE WHEN era = 'new' THEN CAST({B.NOW} AS DOUBLE) ELSE trained_at END AS trained_at) FROM meta""",

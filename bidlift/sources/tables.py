@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,15 +60,57 @@ def write_report(report: DataFrame, path: str) -> None:
     save_small(report, path)
 
 
-def publish_snapshot(tables: dict[str, DataFrame], root: str, run_ts: str) -> None:
+class Buckets(NamedTuple):
+    """How a table is stored for joins on ``keys``: by their hash in ``number`` buckets, one file each, sorted."""
+
+    keys: Sequence[str]
+    number: int
+
+
+def _table_name(path: str, buckets: Buckets) -> str:
+    """A name of the session's catalog for the folder; the folder alone is what lasts."""
+    return f"stored_{hashlib.md5(repr((path, buckets)).encode()).hexdigest()}"
+
+
+def write_bucketed(df: DataFrame, path: str, buckets: Buckets) -> None:
+    """Write ``df`` to ``path`` so that joins on its keys need no shuffle of it."""
+    # Buckets follow the hash of a shuffle, so each task holds whole buckets.
+    dealt = df.repartition(buckets.number, *buckets.keys)
+    writer = dealt.write.format("parquet").mode("overwrite").bucketBy(buckets.number, *buckets.keys).sortBy(*buckets.keys)
+    writer.option("path", path).saveAsTable(_table_name(path, buckets))
+
+
+def read_bucketed(spark: SparkSession, path: str, buckets: Buckets) -> DataFrame:
+    """The table at ``path`` with its buckets known to the planner, in any session."""
+    name = _table_name(path, buckets)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        keys = ", ".join(f"`{k}`" for k in buckets.keys)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(buckets.number)} BUCKETS LOCATION '{place}'"
+        )
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def publish_snapshot(
+    tables: dict[str, DataFrame], root: str, run_ts: str, buckets: dict[str, Buckets] | None = None
+) -> None:
     """Write each table under its name and the run's timestamp, and last the run's manifest.
 
     A run never overwrites what another run, or its own reader, is using, and is
-    seen only once all of its tables are there.
+    seen only once all of its tables are there. ``buckets`` names the tables
+    that are stored for joins.
     """
     spark = next(iter(tables.values())).sparkSession
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}/run_ts={run_ts}")
+        path = f"{root}/{name}/run_ts={run_ts}"
+        if buckets and name in buckets:
+            write_bucketed(df, path, buckets[name])
+        else:
+            df.write.mode("overwrite").parquet(path)
     manifest = spark.createDataFrame([(run_ts, sorted(tables))], MANIFEST)
     manifest.coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST_NAME}")
 
@@ -94,9 +140,12 @@ def latest_run(spark: SparkSession, root: str) -> str:
     return found
 
 
-def read_snapshot(spark: SparkSession, root: str, name: str, run_ts: str | None = None) -> DataFrame:
-    """A table of one run, or of the latest."""
-    return spark.read.parquet(f"{root}/{name}/run_ts={run_ts or latest_run(spark, root)}")
+def read_snapshot(
+    spark: SparkSession, root: str, name: str, run_ts: str | None = None, buckets: Buckets | None = None
+) -> DataFrame:
+    """A table of one run, or of the latest; ``buckets`` as it was published with."""
+    path = f"{root}/{name}/run_ts={run_ts or latest_run(spark, root)}"
+    return read_bucketed(spark, path, buckets) if buckets else spark.read.parquet(path)
 
 
 def model_registry(meta: DataFrame, sizes: DataFrame) -> DataFrame:

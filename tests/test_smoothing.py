@@ -1,5 +1,6 @@
 """Score tables, scorers, AUC, calibration, routing, samples, leaves."""
 
+import glob
 import math
 import random
 from itertools import combinations
@@ -7,8 +8,9 @@ from itertools import combinations
 import pytest
 from fixtures import by, col, encoded
 
-from bidlift.operators import calibrate, leaf, metrics, routing, sampling, smoothing
+from bidlift.operators import calibrate, leaf, lookup, metrics, routing, sampling, smoothing
 from bidlift.session import materialize
+from bidlift.sources import tables
 from pyspark.sql import functions as F
 
 ROWS = [([0, 2], 1), ([0, 3], 0), ([1, 2], 0), ([0, 2], 1)]
@@ -99,6 +101,55 @@ def test_scores_are_rates_and_removed_pairs_are_average(spark):
     assert _score(spark, (scores, base), [([0, 2], 0)], "mean", 0.0) == [0.5]
 
 
+@pytest.mark.parametrize("frequent", [0, 5, 1000])
+def test_lookup_of_frequent_facts(spark, frequent):
+    """Whichever keys are told to be frequent, known or unknown, rows and facts found stay the same."""
+    rnd = random.Random(3)
+    table = materialize(spark.createDataFrame([(k, 1 + k % 3, k * 0.5) for k in range(0, 80, 2)], "k bigint, pop bigint, v double"))
+    facts = [(n, rnd.choice([1, 2, rnd.randrange(100), None])) for n in range(500)]
+    df = materialize(spark.createDataFrame(facts, "n bigint, k bigint"))
+    got = lookup.lookup_left(df, table, ["k"], "pop", 4, None, lambda: lookup.frequent_keys(df, ["k"], frequent) if frequent else df.select("k").where("false"))
+    want = [(n, k, k * 0.5 if k is not None and k % 2 == 0 and k < 80 else None) for n, k in facts]
+    assert sorted(((r.n, r.k, r.v) for r in got.collect()), key=lambda r: r[0]) == want
+    few = lookup.frequent_keys(df, ["k"], frequent or 1)
+    assert few.count() <= (frequent or 1)
+
+
+def test_stored_scores_are_joined_without_a_shuffle_of_the_table(spark, tmp_path):
+    """The table is read by its buckets, also when the catalog knows it no more; scores equal those of the plain table."""
+    rnd = random.Random(11)
+    train = [(sorted(rnd.sample(range(12), 4)), rnd.randrange(2)) for _ in range(300)]
+    test = [(sorted(rnd.sample(range(14), 4)), 0) for _ in range(200)]
+    scores, base = _fit(spark, train)
+    asked = encoded(spark, test)
+    buckets = tables.Buckets(("ad_id", "code"), 8)
+    path = str(tmp_path / "scores")
+    tables.write_bucketed(scores, path, buckets)
+    assert len(glob.glob(f"{path}/*.parquet")) <= 8
+    spark.sql(f"DROP TABLE {tables._table_name(path, buckets)}")  # as a new session finds it
+    stored = tables.read_bucketed(spark, path, buckets)
+    assert sorted(stored.collect()) == sorted(scores.select(stored.columns).collect())
+
+    def scored(table):
+        return smoothing.score_rows(asked, table, base, ["row_key"], "mean", 1.0, max_rows=10)
+
+    by_key = {r.row_key: r.score for r in scored(scores).collect()}
+    assert {r.row_key: r.score for r in scored(stored).collect()} == pytest.approx(by_key)
+    assert len(by_key) == 200
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = scored(stored)._jdf.queryExecution().executedPlan().toString()
+        plain = scored(scores)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan
+    shuffles = [p.count("Exchange hashpartitioning(ad_id") for p in (plan, plain)]
+    assert shuffles[0] == shuffles[1] - 1  # just the table's
+
+
 def test_own_scorer(spark):
     fitted = _fit(spark, ROWS)
     best = (lambda w, s, avg: (F.when(w > 0, s), F.lit(1.0)), lambda num, den: num)
