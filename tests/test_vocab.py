@@ -142,3 +142,17 @@ def test_cross_exclude_leaves_fields_out_of_pairs_only(spark):
     for r in enc.collect():
         assert r.cross_idx == [i for i in r.idx if i not in products[r.ad_id]]
         assert len(r.idx) == len(r.cross_idx) + 1
+
+
+def test_encoded_tokens_carry_no_row_columns(spark):
+    # Row columns join back once per row; tokens through the shuffles carry the row number and model only.
+    training = materialize(_training(spark))
+    dictionary = materialize(vocab.feature_dict(vocab.top_tokens(vocab.token_weights(training), vocab.VOCABULARY)))
+    twice = materialize(training.unionByName(training))
+    enc = vocab.encode_rows(twice, dictionary, ["row_key", "has_active"])
+    plan = enc._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(row_key" not in plan and "first(has_active" not in plan
+    assert enc.count() == 2 * training.count()
+    once = by(vocab.encode_rows(training, dictionary, ["row_key"]), "row_key")
+    for r in enc.collect():
+        assert r.idx == once[r.row_key]["idx"]
