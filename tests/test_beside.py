@@ -1,11 +1,13 @@
 """Steps that keep rows whole beside their model's entries."""
 
+import random
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidlift.operators import vocab
+from bidlift.operators import smoothing, vocab
 from bidlift.operators.beside import beside
 from bidlift.schemas import FEATURE_FIELDS, FIELD_POS, MULTI_FIELDS
 from bidlift.session import materialize
@@ -56,3 +58,28 @@ def test_a_model_of_many_rows_is_dealt_to_several_parts(spark):
     assert sorted(r.n for r in got) == list(range(300))
     assert all(r.found % (4 if r.n % 10 else 2) == 0 and r.found > 0 for r in got)
     assert max(r["size"] for r in got) < 300
+
+
+@pytest.mark.parametrize("scorer", ["mean", "deviation", "logodds"])
+@pytest.mark.parametrize("weight", [0.0, 0.5])
+def test_scores_beside_equal_those_of_the_join(spark, scorer, weight):
+    """Tables sent whole and dealt in parts give what the join by key gives, rows and NULL scores included."""
+    rnd = random.Random(4)
+    table = [(m, (i << 32) + j + 1, 3, rnd.choice([None, 0.0, rnd.random()])) for m in (1, 2, None) for i in range(9) for j in (-1, *range(i + 1, 9)) if rnd.random() < 0.6]
+    scores = materialize(spark.createDataFrame(table, "ad_id bigint, code bigint, tot bigint, score double"))
+    base = materialize(spark.createDataFrame([(1, 0.3), (2, 0.0)], "ad_id bigint, average double"))
+    rows = [(n, rnd.choice([1, 2, 3, None]), sorted(rnd.sample(range(11), rnd.randrange(6)))) for n in range(200)]
+    rows += [(200, 1, None), (201, 1, [2, 5]), (201, 1, [2, 5])]
+    asked = materialize(spark.createDataFrame(rows, "n bigint, ad_id bigint, idx array<int>"))
+
+    def scored(**how):
+        return sorted(smoothing.score_rows(asked, scores, base, ["n"], scorer, weight, **how).collect(), key=lambda r: (r.n, r.ad_id or 0))
+
+    joined, whole = scored(max_rows=5), scored()
+    terms, finish = smoothing.SCORERS[scorer]
+    parts = smoothing._sums_beside(asked, scores, base, ["n", "ad_id"], terms, weight, 0, len(table))
+    parts = sorted(parts.select("n", "ad_id", finish(F.col("_num"), F.col("_den")).alias("score")).collect(), key=lambda r: (r.n, r.ad_id or 0))
+    assert "_row" not in plan(smoothing.score_rows(asked, scores, base, ["n"], scorer, weight))
+    for other in (whole, parts):
+        assert [(r.n, r.ad_id, r.score is None) for r in other] == [(r.n, r.ad_id, r.score is None) for r in joined]
+        assert [r.score for r in other if r.score is not None] == pytest.approx([r.score for r in joined if r.score is not None])
